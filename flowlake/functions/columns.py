@@ -27,7 +27,7 @@ def map_lookup(key: Column, mapping: Mapping[str, str], default: str) -> Column:
     if not mapping:
         return F.lit(default)
     pairs = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.coalesce(pairs.getItem(key), F.lit(default))
+    return F.coalesce(pairs[key], F.lit(default))
 
 
 def safe_ratio(

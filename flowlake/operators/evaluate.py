@@ -132,6 +132,13 @@ def novel_detection_rate(df: DataFrame) -> DataFrame:
     )
 
 
+def slices_for(points: int) -> int:
+    """How many slices a running total over this many points should have."""
+    if points <= SINGLE_WINDOW_POINTS:
+        return 1
+    return min(1024, max(64, points // 1_000_000))
+
+
 def descending_totals(points: DataFrame, order: str, sums: Sequence[str], slices: int = 1) -> DataFrame:
     """`cum_<c>`: sum of c over this and all points with a higher `order`.
     `order` must be unique and a double.
@@ -175,7 +182,7 @@ def threshold_curve(df: DataFrame, resolution: float = 0.01) -> DataFrame:
         F.sum(_rows(df)).cast("long").alias("n"),
         _total(F.col(LABEL) == 1, _rows(df)).alias("pos"),
     )
-    slices = 1 if 1 / resolution <= SINGLE_WINDOW_POINTS else 64
+    slices = slices_for(int(1 / resolution))
     totals = descending_totals(points, BUCKET, ["n", "pos"], slices)
     # All positives: the curve's last running total.
     everything = points.agg(F.sum("pos").alias("pos")).scalar() if slices > 1 else F.max("cum_pos").over(

@@ -33,7 +33,7 @@ def expected_row_status(df: DataFrame, source: str, expected: Mapping[str, int])
     wanted = F.lit(None).cast("long")
     if expected:
         literal = F.create_map(*[x for k, v in expected.items() for x in (F.lit(k), F.lit(v).cast("long"))])
-        wanted = literal.getItem(F.col(source))
+        wanted = literal[F.col(source)]
     return counts.withColumn("expected_rows", wanted).withColumn(
         "status",
         F.when(F.col("expected_rows").isNull(), F.lit("unchecked"))
@@ -65,11 +65,12 @@ def novel_labels(df: DataFrame, label: str, split: str = "split") -> DataFrame:
 
 
 def bounded(df: DataFrame, rows: int = LITERAL_ROWS) -> DataFrame:
-    """The same rows as a literal relation if there are at most `rows` of them,
-    so the planner knows their size and may broadcast; unchanged otherwise, and
-    a join then shuffles (and splits skewed keys at run time)."""
-    head = df.limit(rows + 1).collect()
-    return df if len(head) > rows else df.sparkSession.createDataFrame(head, df.schema)
+    """The same rows as a literal relation if there are at most `rows` of them:
+    the planner then knows their exact size and broadcasts them if they fit its
+    threshold. Unchanged otherwise, and a join shuffles both sides, splitting
+    skewed keys at run time."""
+    head = df.limit(rows + 1).toArrow()
+    return df if head.num_rows > rows else df.sparkSession.createDataFrame(head, df.schema)
 
 
 def rows_in_list(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
