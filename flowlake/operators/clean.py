@@ -157,7 +157,7 @@ def clean_flows(df: DataFrame, spec: DatasetSpec, null_as_nonfinite: bool = Fals
     return add_labels(dedup_across_sources(imputed, spec), spec)
 
 
-def clean(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    return clean_connections(df, spec) if spec.duration_column is None else clean_flows(df, spec)
-
-
+def clean(df: DataFrame, spec: DatasetSpec, null_as_nonfinite: bool = False) -> DataFrame:
+    if spec.duration_column is None:
+        return clean_connections(df, spec)
+    return clean_flows(df, spec, null_as_nonfinite)

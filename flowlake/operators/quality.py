@@ -9,8 +9,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.functions import is_nonfinite, replace_nonfinite
-from flowlake.operators.clean import connection_keys, flow_keys, source_rank
+from flowlake.functions import is_nonfinite
+from flowlake.operators.clean import connection_keys, flow_keys, impute_nonfinite, source_rank
 from flowlake.specs import DatasetSpec
 
 # Up to this many values a computed list travels as a literal relation; a
@@ -147,12 +147,19 @@ def dq_stats_connections(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     ])
 
 
-def dq_stats_flows(df: DataFrame, spec: DatasetSpec, sources: Sequence[str] | None = None) -> DataFrame:
+def dq_stats_flows(
+    df: DataFrame,
+    spec: DatasetSpec,
+    sources: Sequence[str] | None = None,
+    null_as_nonfinite: bool = False,
+) -> DataFrame:
     """Long report on raw flow rows: rows per source, negative and null
     durations, non-finite and null cells per rate column (counted on the rows
     that survive the duration filter), duplicates after imputation, final rows and
     unmapped labels.
 
+    `null_as_nonfinite` must say what the cleaning it reports on does.
+
     Every invalid-duration row forms groups of its own (the duration is part of
     the key), so the same fold serves the counts before and after the filter.
     """
@@ -160,12 +167,14 @@ def dq_stats_flows(df: DataFrame, spec: DatasetSpec, sources: Sequence[str] | No
     label, rates = spec.label, spec.rate_columns
     flagged = df.withColumns({
         **{f"_bad_{c}": F.when(is_nonfinite(F.col(c)), 1).otherwise(0) for c in rates},
+        **{f"_null_{c}": F.when(F.col(c).isNull(), 1).otherwise(0) for c in rates},
         "_rank": source_rank(spec, F.col("source_day")),
-    }).withColumns({c: replace_nonfinite(F.col(c)) for c in rates})
+    })
+    flagged = impute_nonfinite(flagged, rates, null_as_nonfinite=null_as_nonfinite)
     ranks = {key: rank for rank, key in enumerate(spec.source_order)}
     folded = flagged.groupBy(*flow_keys(spec)).agg(
         _count().alias("_n"),
-        *[F.sum(f"_bad_{c}").alias(f"_bad_{c}") for c in rates],
+        *[F.sum(f"_{kind}_{c}").alias(f"_{kind}_{c}") for kind in ("bad", "null") for c in rates],
         *[F.count_if(F.col("_rank") == ranks[s]).alias(f"_src_{s}") for s in sources],
     )
     duration = F.col(spec.duration_column)
@@ -181,8 +190,10 @@ def dq_stats_flows(df: DataFrame, spec: DatasetSpec, sources: Sequence[str] | No
         total(duration.isNull(), n).alias("_null"),
         total(valid, n).alias("_valid"),
         total(valid, F.lit(1)).alias("_final"),
-        *[total(valid, F.col(f"_bad_{c}")).alias(f"_bad_{c}") for c in rates],
-        *[total(valid & F.col(c).isNull(), n).alias(f"_null_{c}") for c in rates],
+        *[
+            total(valid, F.col(f"_{kind}_{c}")).alias(f"_{kind}_{c}")
+            for kind in ("bad", "null") for c in rates
+        ],
         *[F.sum(f"_src_{s}").alias(f"_src_{s}") for s in sources],
     )
     return _long_report(per_label, [
@@ -199,7 +210,12 @@ def dq_stats_flows(df: DataFrame, spec: DatasetSpec, sources: Sequence[str] | No
     ])
 
 
-def dq_stats(df: DataFrame, spec: DatasetSpec, sources: Sequence[str] | None = None) -> DataFrame:
+def dq_stats(
+    df: DataFrame,
+    spec: DatasetSpec,
+    sources: Sequence[str] | None = None,
+    null_as_nonfinite: bool = False,
+) -> DataFrame:
     if spec.duration_column is None:
         return dq_stats_connections(df, spec)
-    return dq_stats_flows(df, spec, sources)
+    return dq_stats_flows(df, spec, sources, null_as_nonfinite)
