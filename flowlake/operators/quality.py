@@ -1,6 +1,5 @@
-"""Data-quality measures. A report is one scan of the raw rows: copies are
-folded by key first, those groups are summed per label, and the few label rows
-are turned into long `metric, key, value` rows."""
+"""Data-quality measures. A report is one scan of the raw rows, summed per
+label; the few label rows are turned into long `metric, key, value` rows."""
 
 from __future__ import annotations
 
@@ -105,9 +104,11 @@ def nonfinite_total(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return nonfinite_counts(df, columns).select("nonfinite_total")
 
 
-def _long_report(per_label: DataFrame, entries: Sequence[tuple[str, str | Column, Column]]) -> DataFrame:
-    """Sum of each (metric, key, value) over the label rows; entries with a
-    null value are left out."""
+Entry = tuple[str, "str | Column", Column]
+
+
+def _long_rows(per_label: DataFrame, entries: Sequence[Entry]) -> DataFrame:
+    """(metric, key, value) rows of every label row; null values are left out."""
     structs = [
         F.struct(
             F.lit(metric).alias("metric"),
@@ -116,35 +117,81 @@ def _long_report(per_label: DataFrame, entries: Sequence[tuple[str, str | Column
         )
         for metric, key, value in entries
     ]
-    rows = per_label.select(F.inline(F.array(*structs))).filter("value IS NOT NULL")
+    return per_label.select(F.inline(F.array(*structs))).filter("value IS NOT NULL")
+
+
+def _summed(rows: DataFrame) -> DataFrame:
     return rows.groupBy("metric", "key").agg(F.sum("value").alias("value"))
 
 
-def dq_stats_connections(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Long report on raw connection rows: rows per split, duplicates, final
-    rows, distinct labels per split, novel and unmapped labels (one row each,
-    value = their rows)."""
-    label = spec.label
-    folded = df.groupBy(*connection_keys(spec)).agg(_count().alias("_n"))
-    in_split = {s: F.col("split") == s for s in ("train", "test")}
-    per_label = folded.groupBy(label).agg(
-        F.sum("_n").alias("_rows"),
-        _count().alias("_final"),
-        *[F.sum(F.when(cond, F.col("_n")).otherwise(0)).alias(f"_{s}") for s, cond in in_split.items()],
+def _total(condition: Column, value: Column) -> Column:
+    return F.sum(F.when(condition, value).otherwise(0))
+
+
+def _report(
+    raw: DataFrame, cleaned: DataFrame | None, label: str, key: Sequence[str], valid: Column,
+    counters: Mapping[str, Column], measures: Mapping[str, Column], entries: Sequence[Entry],
+) -> DataFrame:
+    """Long report on raw rows.
+
+    `counters` are 0/1 columns counted per row, `measures` sums over rows that
+    may use `_n` (rows) and the counters. Without a cleaned table the rows are
+    first folded by their dedup key, which tells copies apart; every measure is
+    then a sum over groups. With the stored cleaned table that wide shuffle is
+    not needed: raw rows are summed per label where they are read, and the
+    final rows are counted from the table.
+    """
+    n = F.col("_n")
+    if cleaned is None:
+        rows = raw.groupBy(*key).agg(
+            _count().alias("_n"), *[F.sum(c).alias(name) for name, c in counters.items()]
+        )
+        final = _total(valid, F.lit(1))
+    else:
+        rows = raw.withColumns({"_n": F.lit(1), **counters})
+        final = F.lit(0)
+    per_label = rows.groupBy(label).agg(
+        F.sum(n).alias("_rows"),
+        _total(valid, n).alias("_valid"),
+        final.alias("_final"),
+        *[value.alias(name) for name, value in measures.items()],
     )
-    train, test, rows = F.col("_train"), F.col("_test"), F.col("_rows")
-    return _long_report(per_label, [
-        ("raw_row_counts", "train", train),
-        ("raw_row_counts", "test", test),
-        ("total_raw_rows", "", rows),
-        ("duplicates_removed", "", rows - F.col("_final")),
+    report = _long_rows(per_label, [
+        *entries,
+        ("total_raw_rows", "", F.col("_rows")),
+        ("duplicates_removed", "", F.col("_valid") - F.col("_final")),
         ("final_cleaned_rows", "", F.col("_final")),
-        ("distinct_attack_types", "train", F.when(train > 0, 1).otherwise(0)),
-        ("distinct_attack_types", "test", F.when(test > 0, 1).otherwise(0)),
-        ("novel_attack_types_in_test_not_in_train", F.col(label), F.when((test > 0) & (train == 0), test)),
-        ("attack_types_with_no_category_mapping", F.col(label),
-         F.when(is_unmapped(F.col(label), spec.taxonomy), rows)),
     ])
+    if cleaned is not None:
+        left = cleaned.groupBy(label).agg(_count().alias("_final"))
+        report = report.unionByName(_long_rows(left, [
+            ("duplicates_removed", "", -F.col("_final")),
+            ("final_cleaned_rows", "", F.col("_final")),
+        ]))
+    return _summed(report)
+
+
+def dq_stats_connections(
+    df: DataFrame, spec: DatasetSpec, cleaned: DataFrame | None = None
+) -> DataFrame:
+    """Long report on raw connection rows: rows per split, duplicates, final
+    rows, distinct labels per split, novel and unmapped labels (one row each,
+    value = their rows). `cleaned` is the stored table made from these rows."""
+    label = F.col(spec.label)
+    train, test = F.col("_train"), F.col("_test")
+    return _report(
+        df, cleaned, spec.label, connection_keys(spec), F.lit(True), {},
+        {f"_{s}": _total(F.col("split") == s, F.col("_n")) for s in ("train", "test")},
+        [
+            ("raw_row_counts", "train", train),
+            ("raw_row_counts", "test", test),
+            ("distinct_attack_types", "train", F.when(train > 0, 1).otherwise(0)),
+            ("distinct_attack_types", "test", F.when(test > 0, 1).otherwise(0)),
+            ("novel_attack_types_in_test_not_in_train", label, F.when((test > 0) & (train == 0), test)),
+            ("attack_types_with_no_category_mapping", label,
+             F.when(is_unmapped(label, spec.taxonomy), F.col("_rows"))),
+        ],
+    )
 
 
 def dq_stats_flows(
@@ -152,62 +199,50 @@ def dq_stats_flows(
     spec: DatasetSpec,
     sources: Sequence[str] | None = None,
     null_as_nonfinite: bool = False,
+    cleaned: DataFrame | None = None,
 ) -> DataFrame:
     """Long report on raw flow rows: rows per source, negative and null
     durations, non-finite and null cells per rate column (counted on the rows
-    that survive the duration filter), duplicates after imputation, final rows and
-    unmapped labels.
-
-    `null_as_nonfinite` must say what the cleaning it reports on does.
+    that survive the duration filter), duplicates after imputation, final rows
+    and unmapped labels. `null_as_nonfinite` must say what the cleaning it
+    reports on does; `cleaned` is the stored table made from these rows.
 
     Every invalid-duration row forms groups of its own (the duration is part of
-    the key), so the same fold serves the counts before and after the filter.
+    the key), so one fold serves the counts before and after the filter.
     """
     sources = tuple(sources or spec.source_order)
-    label, rates = spec.label, spec.rate_columns
-    flagged = df.withColumns({
+    label, rates = F.col(spec.label), spec.rate_columns
+    rank = source_rank(spec, F.col("source_day"))
+    ranks = {key: position for position, key in enumerate(spec.source_order)}
+    counters = {
         **{f"_bad_{c}": F.when(is_nonfinite(F.col(c)), 1).otherwise(0) for c in rates},
         **{f"_null_{c}": F.when(F.col(c).isNull(), 1).otherwise(0) for c in rates},
-        "_rank": source_rank(spec, F.col("source_day")),
-    })
-    flagged = impute_nonfinite(flagged, rates, null_as_nonfinite=null_as_nonfinite)
-    ranks = {key: rank for rank, key in enumerate(spec.source_order)}
-    folded = flagged.groupBy(*flow_keys(spec)).agg(
-        _count().alias("_n"),
-        *[F.sum(f"_{kind}_{c}").alias(f"_{kind}_{c}") for kind in ("bad", "null") for c in rates],
-        *[F.count_if(F.col("_rank") == ranks[s]).alias(f"_src_{s}") for s in sources],
-    )
-    duration = F.col(spec.duration_column)
-    n = F.col("_n")
-
-    def total(condition: Column, value: Column) -> Column:
-        return F.sum(F.when(condition, value).otherwise(0))
-
+        **{f"_src_{s}": F.when(rank == ranks[s], 1).otherwise(0) for s in sources},
+    }
+    # Counted before the imputation hides what was there.
+    flagged = impute_nonfinite(df.withColumns(counters), rates, null_as_nonfinite=null_as_nonfinite)
+    duration, n = F.col(spec.duration_column), F.col("_n")
     valid = duration >= 0
-    per_label = folded.groupBy(label).agg(
-        F.sum(n).alias("_rows"),
-        total(duration < 0, n).alias("_negative"),
-        total(duration.isNull(), n).alias("_null"),
-        total(valid, n).alias("_valid"),
-        total(valid, F.lit(1)).alias("_final"),
-        *[
-            total(valid, F.col(f"_{kind}_{c}")).alias(f"_{kind}_{c}")
-            for kind in ("bad", "null") for c in rates
+    cells = [f"_{kind}_{c}" for kind in ("bad", "null") for c in rates]
+    return _report(
+        flagged, cleaned, spec.label, flow_keys(spec), valid,
+        {name: F.col(name) for name in counters},
+        {
+            "_negative": _total(duration < 0, n),
+            "_null": _total(duration.isNull(), n),
+            **{name: _total(valid, F.col(name)) for name in cells},
+            **{f"_src_{s}": F.sum(f"_src_{s}") for s in sources},
+        },
+        [
+            *[("raw_row_counts_by_day", s, F.col(f"_src_{s}")) for s in sources],
+            ("negative_duration_rows_dropped", "", F.col("_negative")),
+            ("null_duration_rows_dropped", "", F.col("_null")),
+            *[("rate_column_infinity_or_nan_imputed", c, F.col(f"_bad_{c}")) for c in rates],
+            *[("rate_column_null", c, F.col(f"_null_{c}")) for c in rates],
+            ("labels_with_no_category_mapping", label,
+             F.when(is_unmapped(label, spec.taxonomy), F.col("_rows"))),
         ],
-        *[F.sum(f"_src_{s}").alias(f"_src_{s}") for s in sources],
     )
-    return _long_report(per_label, [
-        *[("raw_row_counts_by_day", s, F.col(f"_src_{s}")) for s in sources],
-        ("total_raw_rows", "", F.col("_rows")),
-        ("negative_duration_rows_dropped", "", F.col("_negative")),
-        ("null_duration_rows_dropped", "", F.col("_null")),
-        *[("rate_column_infinity_or_nan_imputed", c, F.col(f"_bad_{c}")) for c in rates],
-        *[("rate_column_null", c, F.col(f"_null_{c}")) for c in rates],
-        ("duplicates_removed", "", F.col("_valid") - F.col("_final")),
-        ("final_cleaned_rows", "", F.col("_final")),
-        ("labels_with_no_category_mapping", F.col(label),
-         F.when(is_unmapped(F.col(label), spec.taxonomy), F.col("_rows"))),
-    ])
 
 
 def dq_stats(
@@ -215,7 +250,8 @@ def dq_stats(
     spec: DatasetSpec,
     sources: Sequence[str] | None = None,
     null_as_nonfinite: bool = False,
+    cleaned: DataFrame | None = None,
 ) -> DataFrame:
     if spec.duration_column is None:
-        return dq_stats_connections(df, spec)
-    return dq_stats_flows(df, spec, sources, null_as_nonfinite)
+        return dq_stats_connections(df, spec, cleaned)
+    return dq_stats_flows(df, spec, sources, null_as_nonfinite, cleaned)

@@ -4,6 +4,7 @@ factor's tables and, where SQL can say it, the same result in DuckDB's SQL."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,20 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return register
 
 
+def once_per_application(fn: Callable) -> Callable:
+    """Remembers fn(spark, *arguments) for the life of the Spark application."""
+    results: dict[tuple, object] = {}
+
+    @wraps(fn)
+    def remembered(spark: SparkSession, *arguments):
+        key = (spark.sparkContext.applicationId, *arguments)
+        if key not in results:
+            results[key] = fn(spark, *arguments)
+        return results[key]
+
+    return remembered
+
+
 def all_queries() -> dict[str, QueryFn]:
     _load()
     return dict(_QUERIES)

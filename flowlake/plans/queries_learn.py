@@ -3,8 +3,6 @@ have a twin; anything that depends on a fitted model has none."""
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +11,8 @@ from pyspark.sql import functions as F
 from flowlake.operators import clean, learn
 from flowlake.operators.rules import engineer_features
 from flowlake.plans import bindings as b
-from flowlake.plans.catalog import query
+from flowlake.plans import workflow
+from flowlake.plans.catalog import once_per_application, query
 from flowlake.plans.queries_evaluate import predictions
 from flowlake.plans.twins import CONNECTION_FLAGS_SQL, flag_list, flag_names, names, twin
 from flowlake.session import scratch_path
@@ -23,44 +22,39 @@ from flowlake.specs import CICIDS2017, NSL_KDD
 RULE_COLUMNS = sorted(NSL_KDD.rules.flag_columns)
 
 
-def _features(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    """A dataset's feature table, stored first as the workflow does."""
-    return readers.read_table(spark, _feature_table(spark.sparkContext.applicationId, sf_dir, dataset))
+_SPECS = {NSL_KDD.name: NSL_KDD, CICIDS2017.name: CICIDS2017}
 
 
-@cache
-def _feature_table(application: str, sf_dir: str, dataset: str) -> str:
-    spark = SparkSession.active()
-    spec = NSL_KDD if dataset == NSL_KDD.name else CICIDS2017
+@once_per_application
+def _feature_table(spark: SparkSession, sf_dir: str, dataset: str) -> str:
+    """A dataset's feature table, stored first as the workflow does."""
+    spec = _SPECS[dataset]
     raw = b.raw_connections(spark, sf_dir) if spec is NSL_KDD else b.raw_flows(spark, sf_dir)
     # The flow view has null rates; trees take none.
-    cleaned = (
-        clean.clean_connections(raw, spec)
-        if spec is NSL_KDD
-        else clean.clean_flows(raw, spec, null_as_nonfinite=True)
-    )
+    features = engineer_features(clean.clean(raw, spec, null_as_nonfinite=True), spec.rules)
     path = scratch_path(spark, f"features-{dataset}")
-    sinks.write_partitioned(engineer_features(cleaned, spec.rules), path)
+    sinks.write_partitioned(features, path)
     return path
 
 
-@cache
-def _trained(application: str, sf_dir: str, dataset: str) -> tuple[PipelineModel, dict]:
-    """One fit per application, tables and dataset, whatever queries ask for it."""
-    spark = SparkSession.active()
-    spec = NSL_KDD if dataset == NSL_KDD.name else CICIDS2017
+def _features(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    return readers.read_table(spark, _feature_table(spark, sf_dir, dataset))
+
+
+@once_per_application
+def _trained(spark: SparkSession, sf_dir: str, dataset: str) -> tuple[PipelineModel, dict]:
+    """One fit per tables and dataset, whatever queries ask for it."""
     return learn.train_dataset(
-        _features(spark, sf_dir, dataset), spec, partitions=spark.sparkContext.defaultParallelism
+        _features(spark, sf_dir, dataset), _SPECS[dataset], partitions=spark.sparkContext.defaultParallelism
     )
 
 
 def _model(spark: SparkSession, sf_dir: str, dataset: str = NSL_KDD.name) -> PipelineModel:
-    return _trained(spark.sparkContext.applicationId, sf_dir, dataset)[0]
+    return _trained(spark, sf_dir, dataset)[0]
 
 
 def _metrics(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    metrics = _trained(spark.sparkContext.applicationId, sf_dir, dataset)[1]
-    return learn.metrics_rows(spark, metrics)
+    return learn.metrics_rows(spark, _trained(spark, sf_dir, dataset)[1])
 
 
 @query("class_weight", twin("""
@@ -116,7 +110,7 @@ def ml_gbt_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = _features(spark, sf_dir, NSL_KDD.name)
     return learn.score_dataset(
-        _model(spark, sf_dir), features, NSL_KDD, key=clean.connection_keys(NSL_KDD)
+        _model(spark, sf_dir), features, NSL_KDD, key=workflow.unique_key(NSL_KDD)
     )
 
 
@@ -166,7 +160,7 @@ def model_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.save_model(_model(spark, sf_dir, CICIDS2017.name), path)
     features = _features(spark, sf_dir, CICIDS2017.name)
     return learn.score_dataset(
-        readers.load_model(spark, path), features, CICIDS2017, key=clean.flow_keys(CICIDS2017)
+        readers.load_model(spark, path), features, CICIDS2017, key=workflow.unique_key(CICIDS2017)
     )
 
 

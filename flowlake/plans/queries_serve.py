@@ -12,9 +12,11 @@ from flowlake.functions import json_payload, positive_probability, round_probabi
 from flowlake.operators import serve
 from flowlake.operators.rules import engineer_features
 from flowlake.plans import bindings as b
-from flowlake.plans.catalog import query
+from flowlake.plans.catalog import once_per_application, query
 from flowlake.plans.queries_evaluate import connection_predictions, predictions
 from flowlake.plans.twins import CONNECTION_ID, hashed, names, twin
+from flowlake.session import scratch_path
+from flowlake.sources import readers, sinks
 from flowlake.specs import CICIDS2017, NSL_KDD
 
 SCORED_AT = "2024-06-01 00:00:00"
@@ -39,8 +41,19 @@ def served(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.union_datasets(served_connections(spark, sf_dir), served_flows(spark, sf_dir))
 
 
-def served_page(spark: SparkSession, sf_dir: str, **arguments) -> serve.Page:
-    return serve.flows_page(serve.stamp(served(spark, sf_dir), SCORED_AT), **arguments)
+@once_per_application
+def _served_table(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "flows-scored")
+    sinks.write_partitioned(
+        serve.stamp(served(spark, sf_dir), SCORED_AT), path,
+        by=("dataset_source", "split"), lookup_column="flow_id",
+    )
+    return path
+
+
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The served table as queries meet it: stored, by dataset and split."""
+    return readers.read_table(spark, _served_table(spark, sf_dir)).select(*serve.COMMON_COLUMNS, "scored_at")
 
 
 @query("project_common_schema", twin(f"SELECT {COMMON} FROM served WHERE dataset_source = 'nsl_kdd'"))
@@ -130,13 +143,13 @@ def label_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE dataset_source = 'cicids2017' AND split = 'test' AND predicted_label = 0 AND attack_category_actual = 'DoS'"""))
 def filter_optional_conjunction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.filter_flows(
-        served(spark, sf_dir), dataset="cicids2017", split="test", predicted_label=0, attack_category="DoS"
+        stored(spark, sf_dir), dataset="cicids2017", split="test", predicted_label=0, attack_category="DoS"
     ).select("flow_id", "attack_category_actual")
 
 
 @query("filter_dataset", twin("SELECT flow_id, duration FROM served WHERE dataset_source = 'nsl_kdd'"))
 def filter_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.filter_flows(served(spark, sf_dir), dataset="nsl_kdd", split="").select("flow_id", "duration")
+    return serve.filter_flows(stored(spark, sf_dir), dataset="nsl_kdd", split="").select("flow_id", "duration")
 
 
 # The id of the event with event_id 77, as any client would hold it.
@@ -145,22 +158,21 @@ WANTED_ID = "cicids2017-" + hashlib.sha256(b"2:77").hexdigest()[:32]
 
 @query("lookup_by_id", twin(f"SELECT {COMMON} FROM served WHERE flow_id = '{WANTED_ID}'"))
 def lookup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.lookup_by_id(served(spark, sf_dir), WANTED_ID)
+    return serve.lookup_by_id(stored(spark, sf_dir), WANTED_ID).drop("scored_at")
 
 
 @query("flows_page", twin(f"""
     SELECT {COMMON}, (SELECT count(*) FROM served WHERE split = 'test') AS total FROM served
     WHERE split = 'test' ORDER BY flow_id LIMIT 50 OFFSET 100"""))
 def flows_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = served_page(spark, sf_dir, limit=50, offset=100, split="test")
+    page = serve.flows_page(stored(spark, sf_dir), limit=50, offset=100, split="test")
     return page.items.withColumn("total", page.total.scalar()).drop("scored_at")
 
 
 @query("flows_page_deep", twin(f"SELECT {COMMON} FROM served ORDER BY flow_id LIMIT 200 OFFSET 5000"))
 def flows_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The path deep offsets take, at an offset the test data has."""
-    flows = serve.stamp(served(spark, sf_dir), SCORED_AT)
-    return serve.deep_page(flows, limit=200, offset=5000).drop("scored_at")
+    return serve.deep_page(stored(spark, sf_dir), limit=200, offset=5000).drop("scored_at")
 
 
 STATS = """count(*) AS total_flows, cast(sum(is_attack_actual) as bigint) AS actual_attack_count,
@@ -174,26 +186,26 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query("dataset_stats", twin(f"SELECT dataset_source, split, {STATS} FROM served GROUP BY dataset_source, split"))
 def dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(serve.dataset_stats(served(spark, sf_dir)))
+    return _rounded(serve.dataset_stats(stored(spark, sf_dir)))
 
 
 @query("ordered_outputs", twin(
     f"SELECT dataset_source, split, {STATS} FROM served GROUP BY dataset_source, split ORDER BY dataset_source, split"))
 def ordered_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(serve.dataset_stats(served(spark, sf_dir)))
+    return _rounded(serve.dataset_stats(stored(spark, sf_dir)))
 
 
 @query("summary_stats", twin(
     f"SELECT dataset_source, {STATS} FROM served WHERE dataset_source = 'nsl_kdd' GROUP BY dataset_source"))
 def summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(serve.summary_stats(served(spark, sf_dir), "nsl_kdd"))
+    return _rounded(serve.summary_stats(stored(spark, sf_dir), "nsl_kdd"))
 
 
 @query("predicted_attack_rate", twin("""
     SELECT dataset_source, round(cast(sum(predicted_label) as double) / count(*), 6) AS predicted_attack_rate
     FROM served WHERE dataset_source = 'nsl_kdd' GROUP BY dataset_source"""))
 def predicted_attack_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rate = serve.predicted_attack_rate(serve.summary_stats(served(spark, sf_dir), "nsl_kdd"))
+    rate = serve.predicted_attack_rate(serve.summary_stats(stored(spark, sf_dir), "nsl_kdd"))
     return rate.select("dataset_source", F.round("predicted_attack_rate", 6).alias("predicted_attack_rate"))
 
 
@@ -202,4 +214,4 @@ def predicted_attack_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         cast(sum(predicted_label) as bigint) AS predicted_attack_count
     FROM served GROUP BY attack_category_actual"""))
 def category_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.category_breakdown(served(spark, sf_dir))
+    return serve.category_breakdown(stored(spark, sf_dir))

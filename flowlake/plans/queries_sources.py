@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.operators import clean, quality
+from flowlake.operators import clean, quality, serve
 from flowlake.plans import bindings as b
 from flowlake.plans.catalog import query
-from flowlake.plans.queries_serve import served_page
+from flowlake.plans.queries_serve import stored
 from flowlake.plans.twins import CONNECTION_KEY, nonfinite, names, twin
 from flowlake.session import scratch_path
 from flowlake.sources import readers, schema, sinks
@@ -95,7 +95,7 @@ def src_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "connections")
     rows = b.connections(spark, sf_dir).select(*NSL_KDD.columns, "split")
-    sinks.write_partitioned(rows, path, by=("split",), rebalance=True)
+    sinks.write_partitioned(rows, path, by=("split",))
     return readers.read_table(spark, path)
 
 
@@ -131,7 +131,7 @@ def read_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     ORDER BY flow_id LIMIT 2000"""))
 def src_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A served page's records (at most 2000) as a DataFrame again."""
-    page = served_page(spark, sf_dir, limit=2000).items
+    page = serve.flows_page(stored(spark, sf_dir), limit=2000).items
     wanted = ["flow_id", "dataset_source", "predicted_label", "attack_probability"]
     records = [row.asDict() for row in page.select(*wanted).collect()]
     return readers.rows_to_frame(

@@ -38,6 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="flowlake-")
+    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 

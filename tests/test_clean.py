@@ -188,3 +188,34 @@ def test_scalar_helpers(spark):
     ).collect()
     assert [tuple(r) for r in got] == [("English", "?", 0.0, None), ("?", "?", 0.25, 0.25), ("?", "?", 0.0, None)]
     assert not math.isnan(got[0].r)
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_report_with_a_stored_cleaned_table_is_the_same(spark, tmp_path, nulls):
+    """With the cleaned table at hand the raw rows need no wide shuffle."""
+    rng = random.Random(4)
+    rates = [float("inf"), float("nan"), 1.0, None]
+    flow_rows = [
+        flow(rng.choice(["monday", "wednesday", "friday_ddos"]), flow_duration=rng.choice([-1, 0, 1, None]),
+             flow_bytes_per_s=rng.choice(rates), label=rng.choice(["BENIGN", "odd", None]))
+        for _ in range(150)
+    ]
+    connection_rows = [
+        connection(rng.choice(["train", "test"]), duration=float(rng.randrange(3)), difficulty=rng.randrange(9),
+                   attack_type=rng.choice(["normal", "saint", "odd"]))
+        for _ in range(100)
+    ]
+    for spec, raw in ((CICIDS2017, flows(spark, flow_rows)), (NSL_KDD, connections(spark, connection_rows))):
+        path = str(tmp_path / spec.name)
+        clean.clean(raw, spec, nulls).write.parquet(path)
+        alone = quality.dq_stats(raw, spec, None, nulls)
+        stored = quality.dq_stats(raw, spec, None, nulls, spark.read.parquet(path))
+        assert long_report(stored) == long_report(alone)
+        assert long_report(alone)[("duplicates_removed", "")] > 0
+        wide = ("hashpartitioning(destination_port#", "hashpartitioning(duration#")
+        assert not any(w in plan_of(stored) for w in wide)
+        assert any(w in plan_of(alone) for w in wide)
+
+
+def test_empty_raw_table_reports_nothing(spark):
+    assert quality.dq_stats(flows(spark, [flow("monday")]).filter("false"), CICIDS2017).count() == 0
