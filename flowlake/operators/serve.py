@@ -145,8 +145,8 @@ def filter_flows(df: DataFrame, **filters) -> DataFrame:
 
 
 def lookup_by_id(df: DataFrame, wanted: str) -> DataFrame:
-    """At most one row. On a table written with a bloom filter on `flow_id`
-    row groups that cannot hold the id are skipped."""
+    """At most one row. On a table written for lookups by `flow_id` only the
+    pages that may hold the id are read."""
     return df.filter(F.col("flow_id") == wanted).limit(1)
 
 
@@ -166,28 +166,40 @@ def _page_order() -> list[Column]:
 
 
 def flows_page(df: DataFrame, limit: int = 50, offset: int = 0, **filters) -> Page:
-    """Newest first, then by id. `df` needs `scored_at`."""
+    """Newest first, then by id. `df` needs `scored_at`.
+
+    The page is found on its two order columns and only then fetched: a top-k
+    of whole rows would move limit + offset JSON payloads out of every task.
+    Finding it runs a job; at most `limit` keys come back.
+    """
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
     if offset < 0:
         raise ValueError("offset must not be negative")
     matching = filter_flows(df, **filters)
     if limit + offset <= DEEP_PAGE_ROWS:
-        items = matching.orderBy(*_page_order()).offset(offset).limit(limit)
+        keys = shallow_page_keys(matching, limit, offset)
     else:
-        items = deep_page(matching, limit, offset)
-    return Page(matching.agg(F.count(F.lit(1)).alias("total")), items, limit, offset)
+        keys = deep_page_keys(matching, limit, offset)
+    return Page(
+        matching.agg(F.count(F.lit(1)).alias("total")), fetch_page(matching, keys), limit, offset
+    )
+
+
+def shallow_page_keys(df: DataFrame, limit: int, offset: int) -> DataFrame:
+    """Order columns of the rows offset..offset+limit by a top-k."""
+    return df.select("scored_at", "flow_id").orderBy(*_page_order()).offset(offset).limit(limit)
 
 
-def deep_page(df: DataFrame, limit: int, offset: int) -> DataFrame:
-    """Rows offset..offset+limit without ordering the rows in front of them:
-    count rows per (scored_at, dataset, leading hash digits), find the slices
-    the page touches, order only those. Ids are `<dataset>-<hash>` and hashes
-    are uniform, so slices are even and their order is the page order."""
+def deep_page_keys(df: DataFrame, limit: int, offset: int) -> DataFrame:
+    """The same keys without ordering the rows in front of them: count rows per
+    (scored_at, dataset, leading hash digits), find the slices the page
+    touches, order only those. Ids are `<dataset>-<hash>` and hashes are
+    uniform, so slices are even and their order is the page order."""
     prefix = F.col("flow_id").substr(
         F.lit(1), F.length("dataset_source") + F.lit(1 + SLICE_HEX_DIGITS)
     )
-    sliced = df.withColumn("_slice", prefix)
+    sliced = df.select("scored_at", "flow_id", prefix.alias("_slice"))
     before = Window.orderBy(F.desc("scored_at"), F.asc("_slice")).rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -202,7 +214,22 @@ def deep_page(df: DataFrame, limit: int, offset: int) -> DataFrame:
         sliced.join(F.broadcast(touched), ["scored_at", "_slice"])
         .withColumn("_position", F.col("_start") + F.row_number().over(inside))
         .filter((F.col("_position") > offset) & (F.col("_position") <= offset + limit))
-        .select(*df.columns)
+        .select("scored_at", "flow_id")
+    )
+
+
+def fetch_page(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """The keys' rows in page order. The keys' id range goes into the scan as
+    literals: files sorted by id then skip all but a few of their pages."""
+    found = keys.toArrow()
+    if found.num_rows == 0:
+        return df.filter(F.lit(False))
+    ids = found.column("flow_id").to_pylist()
+    page = df.sparkSession.createDataFrame(found, keys.schema)
+    in_range = F.col("flow_id").between(min(ids), max(ids))
+    return (
+        df.filter(in_range)
+        .join(F.broadcast(page), ["scored_at", "flow_id"], "left_semi")
         .orderBy(*_page_order())
     )
 

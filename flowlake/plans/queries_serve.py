@@ -172,7 +172,8 @@ def flows_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("flows_page_deep", twin(f"SELECT {COMMON} FROM served ORDER BY flow_id LIMIT 200 OFFSET 5000"))
 def flows_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The path deep offsets take, at an offset the test data has."""
-    return serve.deep_page(stored(spark, sf_dir), limit=200, offset=5000).drop("scored_at")
+    flows = stored(spark, sf_dir)
+    return serve.fetch_page(flows, serve.deep_page_keys(flows, limit=200, offset=5000)).drop("scored_at")
 
 
 STATS = """count(*) AS total_flows, cast(sum(is_attack_actual) as bigint) AS actual_attack_count,

@@ -1,11 +1,13 @@
 import json
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import plan_of
 from pyspark.sql import functions as F
 
 from flowlake.operators import serve
+from flowlake.sources import sinks
 
 CONNECTION_SCHEMA = """protocol_type string, service string, duration double, src_bytes double, dst_bytes double,
     is_attack int, attack_category string, prediction double, attack_probability double, rule_flags string, split string"""
@@ -119,16 +121,33 @@ def test_page_bounds(table):
         with pytest.raises(ValueError):
             serve.flows_page(table, **bad)
     assert serve.flows_page(table, offset=100_000 - 50).items.count() == 0
-    assert "TakeOrderedAndProject" in plan_of(serve.flows_page(table).items)
+    assert "TakeOrderedAndProject" in plan_of(serve.shallow_page_keys(table, 50, 0))
 
 
 @pytest.mark.parametrize("offset, limit", [(0, 5), (123, 40), (395, 50), (400, 3), (999, 3)])
 def test_deep_pages_are_the_same_pages(table, monkeypatch, offset, limit):
     expected = [r.flow_id for r in serve.flows_page(table, limit, offset).items.collect()]
     monkeypatch.setattr(serve, "DEEP_PAGE_ROWS", 0)
-    deep = serve.flows_page(table, limit, offset).items
-    assert "TakeOrdered" not in plan_of(deep)
-    assert [r.flow_id for r in deep.collect()] == expected
+    assert "TakeOrdered" not in plan_of(serve.deep_page_keys(table, limit, offset))
+    assert [r.flow_id for r in serve.flows_page(table, limit, offset).items.collect()] == expected
+
+
+def test_stored_table_is_sorted_for_lookups(spark, table, tmp_path):
+    path = str(tmp_path / "served")
+    sinks.write_partitioned(table, path, by=("dataset_source", "split"), lookup_column="flow_id")
+    files = list((tmp_path / "served").rglob("*.parquet"))
+    assert files
+    for file in files:
+        ids = pq.ParquetFile(file).read(columns=["flow_id"]).column("flow_id").to_pylist()
+        assert ids == sorted(ids)
+    back = spark.read.parquet(path)
+    page = serve.flows_page(back, limit=20, offset=30, dataset="nsl_kdd", split="test").items
+    assert page.count() == 20
+    scan = [x for x in plan_of(page).splitlines() if "FileScan" in x][-1]
+    assert "PartitionFilters: [isnotnull(dataset_source" in scan and "GreaterThanOrEqual(flow_id" in scan
+    wanted = table.first().flow_id
+    assert "EqualTo(flow_id" in plan_of(serve.lookup_by_id(back, wanted))
+    assert serve.lookup_by_id(back, wanted).count() == 1
 
 
 def test_lookup(table):
