@@ -158,6 +158,7 @@ def clean_flows(df: DataFrame, spec: DatasetSpec, null_as_nonfinite: bool = Fals
 
 
 def clean(df: DataFrame, spec: DatasetSpec, null_as_nonfinite: bool = False) -> DataFrame:
+    df = df.drop("_corrupt_record")  # a reader's note for the quality report
     if spec.duration_column is None:
         return clean_connections(df, spec)
     return clean_flows(df, spec, null_as_nonfinite)

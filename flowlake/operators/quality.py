@@ -12,6 +12,9 @@ from flowlake.functions import is_nonfinite
 from flowlake.operators.clean import connection_keys, flow_keys, impute_nonfinite, source_rank
 from flowlake.specs import DatasetSpec
 
+# Where a reader keeps a malformed line (see sources.schema).
+CORRUPT = "_corrupt_record"
+
 # Up to this many values a computed list travels as a literal relation; a
 # longer one stays a distributed side of the join.
 LITERAL_ROWS = 10_000
@@ -139,9 +142,14 @@ def _report(
     first folded by their dedup key, which tells copies apart; every measure is
     then a sum over groups. With the stored cleaned table that wide shuffle is
     not needed: raw rows are summed per label where they are read, and the
-    final rows are counted from the table.
+    final rows are counted from the table. Lines kept as malformed by the
+    reader are counted where the frame has them.
     """
     n = F.col("_n")
+    if CORRUPT in raw.columns:
+        counters = {**counters, "_malformed": F.when(F.col(CORRUPT).isNotNull(), 1).otherwise(0)}
+        measures = {**measures, "_malformed": F.sum("_malformed")}
+        entries = [*entries, ("malformed_rows", "", F.col("_malformed"))]
     if cleaned is None:
         rows = raw.groupBy(*key).agg(
             _count().alias("_n"), *[F.sum(c).alias(name) for name, c in counters.items()]

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,12 @@ REPORT_SCHEMA = "metric STRING, key STRING, value DOUBLE, text STRING"
 _MODELS: dict[tuple[str, str], PipelineModel] = {}
 
 
+def _keeping_corrupt(reader: DataFrameReader) -> DataFrameReader:
+    """A pruned read looks at no more tokens than it needs and so misses
+    malformed lines: pruning is off where they are asked for."""
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+
+
 def read_headerless_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType, keep_corrupt: bool = False, **tags: str
 ) -> DataFrame:
@@ -30,7 +36,7 @@ def read_headerless_csv(
     reader = spark.read
     if keep_corrupt:
         schema = with_corrupt_column(schema)
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        reader = _keeping_corrupt(reader)
     return reader.schema(schema).csv(path).withColumns({k: F.lit(v) for k, v in tags.items()})
 
 
@@ -47,7 +53,7 @@ def read_positional_csv(
     reader = spark.read.option("header", True).option("enforceSchema", True)
     if keep_corrupt:
         schema = with_corrupt_column(schema)
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        reader = _keeping_corrupt(reader)
     df = reader.schema(schema).csv(path).drop(*drop)
     return df.withColumns({k: F.lit(v) for k, v in tags.items()})
 

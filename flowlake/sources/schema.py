@@ -6,10 +6,9 @@ from collections.abc import Collection, Sequence
 
 from pyspark.sql import types as T
 
+from flowlake.operators.quality import CORRUPT
 from flowlake.specs import DatasetSpec
 
-CORRUPT = "_corrupt_record"
-
 
 def schema_from_columns(
     columns: Sequence[str],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
@@ -41,6 +42,18 @@ def write_partitioned(
     writer.parquet(path)
 
 
+def jdbc_target(environment: Mapping[str, str] = os.environ) -> tuple[str, dict[str, str]]:
+    """URL and properties of the serving database from the usual PostgreSQL
+    client variables; nothing is hard-coded."""
+    host, port = environment["PGHOST"], environment.get("PGPORT", "5432")
+    properties = {
+        "user": environment["PGUSER"],
+        "password": environment["PGPASSWORD"],
+        "driver": "org.postgresql.Driver",
+    }
+    return f"jdbc:postgresql://{host}:{port}/{environment['PGDATABASE']}", properties
+
+
 def jdbc_options(properties: Mapping[str, str], connections: int) -> dict[str, str]:
     """`stringtype=unspecified` lets the database cast text into its JSON type;
     `truncate` keeps the table's own DDL on a full reload."""

@@ -1,9 +1,9 @@
 import json
 
 import pytest
-from helpers import connection, csv_line, flow, plan_of
+from helpers import connection, csv_line, flow, long_report, plan_of
 
-from flowlake.operators import quality
+from flowlake.operators import clean, quality
 from flowlake.sources import readers, sinks
 from flowlake.sources.schema import CORRUPT, raw_schema, schema_from_columns
 from flowlake.specs import CICIDS2017, NSL_KDD, SPECS, spec_for
@@ -116,6 +116,28 @@ def test_jdbc_options():
     assert options["numPartitions"] == "4" and options["user"] == "u"
 
 
+def test_jdbc_target():
+    url, properties = sinks.jdbc_target({"PGHOST": "h", "PGUSER": "u", "PGPASSWORD": "p", "PGDATABASE": "d"})
+    assert url == "jdbc:postgresql://h:5432/d" and properties["user"] == "u"
+    with pytest.raises(KeyError):
+        sinks.jdbc_target({})
+
+
+def test_malformed_lines_reach_the_report(spark, tmp_path):
+    good = csv_line(NSL_KDD, connection())
+    (tmp_path / NSL_KDD.files["train"]).write_text("\n".join([good, "1,tcp", good]))
+    (tmp_path / NSL_KDD.files["test"]).write_text(good + ",99\n")
+    raw = readers.read_registry(spark, NSL_KDD, str(tmp_path), keep_corrupt=True)
+    cleaned = clean.clean(raw, NSL_KDD)
+    assert cleaned.count() == 3 and CORRUPT not in cleaned.columns
+    path = str(tmp_path / "cleaned")
+    cleaned.write.parquet(path)
+    for stored in (None, spark.read.parquet(path)):
+        report = long_report(quality.dq_stats(raw, NSL_KDD, cleaned=stored))
+        assert report[("malformed_rows", "")] == 2 and report[("total_raw_rows", "")] == 4
+        assert report[("final_cleaned_rows", "")] == 3 and report[("duplicates_removed", "")] == 1
+
+
 def test_expected_rows(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)] * 2 + [("c",)], "source string")
     got = {r.source: (r.rows, r.status) for r in quality.expected_row_status(df, "source", {"a": 3, "b": 5}).collect()}

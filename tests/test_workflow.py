@@ -64,6 +64,14 @@ def test_whole_workflow(spark, sf_dir, tmp_path, monkeypatch):
     )
     assert again.select("flow_id").exceptAll(scored.select("flow_id")).count() == 0
 
+    asked = [{"num_failed_logins": 4, "land": True}, {}, {"src_bytes": "many", "service": "ftp"}]
+    answers = workflow.score_records(spark, "nsl_kdd", asked, layouts[0].model).orderBy("record").collect()
+    assert [a.rule_flags for a in answers] == ["failed_logins,land_attack", "", None]
+    assert answers[0].predicted_label in (0, 1) and answers[2].invalid_features == ["src_bytes"]
+    for dataset, records in (("other", [{}]), ("nsl_kdd", [{"colour": 1}])):
+        with pytest.raises(ValueError):
+            workflow.score_records(spark, dataset, records, layouts[0].model)
+
     published = []
     monkeypatch.setattr(sinks, "write_jdbc", lambda df, url, table, properties, n=16: published.append((table, df.columns, n)))
     workflow.publish_stage(scored, stats, "jdbc:x", {})
