@@ -187,3 +187,12 @@ def test_label_display(spark):
 def test_stamp(spark):
     stamped = serve.stamp(spark.range(2), "2024-01-01 00:00:00").select(F.count_distinct("scored_at")).first()
     assert stamped[0] == 1
+
+
+def test_pages_in_another_time_zone(spark, table):
+    expected = [r.flow_id for r in serve.flows_page(table, limit=30, offset=5).items.collect()]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert [r.flow_id for r in serve.flows_page(table, limit=30, offset=5).items.collect()] == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
