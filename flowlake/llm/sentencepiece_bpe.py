@@ -6,7 +6,8 @@ the best is merged and its new neighbours join the agenda until it is empty.
 Symbols that are no piece fall back to their bytes.
 
 No piece joins a character to a following space mark, and none holds a line
-feed, so texts are cut at both and the pieces of each distinct cut are kept in a
+feed, so texts are cut at both; a cut falls into parts between characters that
+no piece has side by side. The ids of each distinct cut and part are kept in a
 bounded memory of each Python worker. Every cut is compared with the
 sentencepiece library when it is first encoded, and every text's decoding is
 compared with the library's; a difference stops the job. Both comparisons are
@@ -24,6 +25,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import add
 
 import pyarrow as pa
 import sentencepiece
@@ -31,8 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-# Distinct cuts a worker remembers at most; more only costs time.
+# Distinct cuts a worker remembers at most, and half as many as parts; more only
+# costs time.
 REMEMBERED = 250_000
+# Parts up to this length keep their agenda as a list.
+SHORT = 48
+NEVER = float("inf")
 # Rows turned into Python strings at a time.
 SLICE_BYTES = 8_000_000
 
@@ -61,23 +67,46 @@ class MergeVocabulary:
             self.bytes_of[i] = name.replace(SPACE, " ").encode()
         for value, i in self.byte_ids.items():
             self.bytes_of[i] = bytes([value])
+        self.joined = {name[i:i + 2] for name in self.priority for i in range(len(name) - 1)}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.known_parts: dict[str, tuple[int, ...]] = {}
+
+    def encode_part(self, part: str) -> tuple[int, ...]:
+        """Ids of a part, by the agenda. For the short parts that most are, the
+        agenda is a list in text order, whose best entry is the first smallest;
+        long ones keep it as a heap."""
+        symbols = list(part) if len(part) <= SHORT else self._merge_long(part)
+        if 1 < len(part) <= SHORT:
+            priority = self.priority.get
+            agenda = [priority(pair, NEVER) for pair in map(add, part, part[1:])]
+            while agenda and (best := min(agenda)) != NEVER:
+                at = agenda.index(best)
+                symbols[at] += symbols.pop(at + 1)
+                del agenda[at]
+                if at:
+                    agenda[at - 1] = priority(symbols[at - 1] + symbols[at], NEVER)
+                if at < len(agenda):
+                    agenda[at] = priority(symbols[at] + symbols[at + 1], NEVER)
+        out: list[int] = []
+        for symbol in symbols:
+            known = self.ids.get(symbol)
+            if known is None:
+                out.extend(self.byte_ids[b] for b in symbol.encode())
+            else:
+                out.append(known)
+        return tuple(out)
 
-    def encode_cut(self, cut: str) -> tuple[int, ...]:
-        """Ids of one cut, by the agenda."""
-        symbols: list[str | None] = list(cut)
+    def _merge_long(self, part: str) -> list[str]:
+        symbols: list[str | None] = list(part)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        priority, agenda = self.priority, []
-        for i in range(n - 1):
-            pair = cut[i:i + 2]
-            if pair in priority:
-                agenda.append((priority[pair], i, i + 1, pair))
+        priority = self.priority
+        agenda = [(priority[part[i:i + 2]], i, i + 1, part[i:i + 2]) for i in range(n - 1) if part[i:i + 2] in priority]
         heapq.heapify(agenda)
         while agenda:
             _, left, right, pair = heapq.heappop(agenda)
             # Stale unless both symbols are still the ones that were paired.
-            if symbols[left] is None or symbols[right] is None or symbols[left] + symbols[right] != pair or after[left] != right:
+            if symbols[left] is None or symbols[right] is None or after[left] != right or symbols[left] + symbols[right] != pair:
                 continue
             symbols[left], symbols[right] = pair, None
             after[left] = right = after[right]
@@ -91,16 +120,21 @@ class MergeVocabulary:
                 both = symbols[first] + pair
                 if both in priority:
                     heapq.heappush(agenda, (priority[both], first, left, both))
-        out: list[int] = []
-        for symbol in symbols:
-            if symbol is None:
-                continue
-            known = self.ids.get(symbol)
-            if known is None:
-                out.extend(self.byte_ids[b] for b in symbol.encode())
-            else:
-                out.append(known)
-        return tuple(out)
+        return [s for s in symbols if s is not None]
+
+    def encode_cut(self, cut: str) -> tuple[int, ...]:
+        """Ids of one cut, part by part: no merge crosses two characters that
+        are neighbours in no piece."""
+        joined, known = self.joined, self.known_parts
+        ends = [i for i, pair in enumerate(map(add, cut, cut[1:]), 1) if pair not in joined]
+        out, at = (), 0
+        for end in (*ends, len(cut)):
+            part = cut[at:end]
+            ids = known.get(part)
+            if ids is None:
+                ids = known[part] = self.encode_part(part)
+            out, at = out + ids if at else ids, end
+        return out
 
     def learn(self, cuts: set[str]) -> None:
         """Encodes new cuts and compares them with the library."""
@@ -108,6 +142,8 @@ class MergeVocabulary:
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = list(cuts)
+        if len(self.known_parts) > 2 * REMEMBERED:
+            self.known_parts.clear()
         ids = [self.encode_cut(c) for c in new]
         # After a line feed the library starts afresh, so a cut stands alone there.
         lead = len(self.library.encode("\n"))
