@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import toxicity
+from flowlake.llm import embedding_dedup, toxicity
 from flowlake.llm.tables import query, table
 
 
@@ -24,3 +24,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "passages",
     )
+
+
+@query("op9_embedding_dedup")
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.find_near_duplicates(table(spark, sf_dir, "embeddings"))
