@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import secret_scan
+from flowlake.llm import line_dedup, secret_scan
 from flowlake.llm.tables import query, table
 
 
@@ -51,3 +51,26 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *(count(k) for k in secret_scan.BASE_KINDS),
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+LINES_SQL = r"""
+WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+full_lines AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM lines WHERE regexp_replace(line, '\s', '', 'g') <> ''),
+windows AS (SELECT doc_id, k, w, [i, i2, i3] AS covered FROM (
+    SELECT doc_id, k, i, [line, lead(line) OVER d, lead(line, 2) OVER d] AS w, lead(i) OVER d AS i2, lead(i, 2) OVER d AS i3
+    FROM full_lines WINDOW d AS (PARTITION BY doc_id ORDER BY k)) WHERE i3 IS NOT NULL),
+firsts AS (SELECT w, min(ROW(doc_id, k)) AS f FROM windows GROUP BY w HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(covered) AS i FROM windows JOIN firsts USING (w) WHERE ROW(doc_id, k) > f)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(g.i)::BIGINT AS n_removed,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
+FROM lines LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id"""
+
+
+@query("op5_line_dedup", LINES_SQL)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("before"))
+    kept = line_dedup.delete_repeated_lines(docs)
+    lines = F.when(F.col("text") == "", F.lit(0)).otherwise(F.size(F.split("text", "\n", -1)))
+    return kept.select(
+        "doc_id", F.col("before").cast("long").alias("n_lines"),
+        (F.col("before") - lines).cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
