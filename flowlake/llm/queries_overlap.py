@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import decontaminate
+from flowlake.llm import decontaminate, jaccard_join
 from flowlake.llm.tables import query, table
 
 _BENCHMARK_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -40,3 +40,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.find_components(table(spark, sf_dir, "documents"))
