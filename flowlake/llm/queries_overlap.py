@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import decontaminate, jaccard_join
+from flowlake.llm import decontaminate, jaccard_join, substring_dedup
 from flowlake.llm.tables import query, table
 
 _BENCHMARK_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -45,3 +45,21 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_jaccard_join")
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.find_components(table(spark, sf_dir, "documents"))
+
+
+REPEATS_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS p
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)),
+firsts AS (SELECT p, min(ROW(doc_id, i)) AS f FROM windows GROUP BY p HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM windows JOIN firsts USING (p) WHERE ROW(doc_id, i) > f),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t, count(*) AS n
+    FROM (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM words) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op10_substring_dedup", REPEATS_SQL)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
