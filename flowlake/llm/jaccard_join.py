@@ -48,11 +48,12 @@ WORDS = 5
 # J >= 80 %, distance <= 20 %.
 PERCENT = 80
 RADIUS = 1 - PERCENT / 100
-PIVOTS = 8
+PIVOTS = 32
 # The order of shingles looks at so many documents, and keeps so many shingles.
 ORDER_DOCUMENTS = 5_000
 ORDER_SHINGLES = 100_000
 SLICE_BYTES = 3_000_000
+DEBUG = False
 
 
 def shingles_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,6 +203,8 @@ def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame |
         rest = stored(rest.select("shingle", "node", "n", "away", F.coalesce("component", "node").alias("component")), "unfinished-members")
         several = rest.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("shingle")
         rest = stored(rest.join(several, "shingle", "left_semi"), "unfinished-regions")
+        if DEBUG:
+            print("rest", rest.count(), several.count(), rest.groupBy("shingle").count().agg(F.max("count"), F.expr("percentile(count, array(0.5,0.9,0.99,0.999))")).first(), flush=True)
         if rest.isEmpty():
             return groups
         # Up to PIVOTS new pivots, one of each hash class of members.
@@ -213,6 +216,8 @@ def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame |
         pairs = rest.join(chosen, "shingle").filter(
             (F.col("component") != F.col("pivot_component")) & _similar_size(F.col("n"), F.col("pivot_n")) & window)
         pairs = stored(pairs.select(*_pair("node", "pivot")).distinct(), "next-pairs")
+        if DEBUG:
+            print("pairs", pairs.count(), flush=True)
         links = stored(links.unionAll(_linked(_distances(pairs, sets)).select(F.col("lo").alias("a"), F.col("hi").alias("b"))), "links")
         groups = connected_components(links)
         done = chosen.select("shingle", F.col("pivot").alias("node"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import line_dedup, secret_scan
+from flowlake.llm import line_dedup, secret_scan, surrogates
 from flowlake.llm.tables import query, table
 
 
@@ -74,3 +74,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", F.col("before").cast("long").alias("n_lines"),
         (F.col("before") - lines).cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+# A fixed key for the tests; a real run takes its key from its own secret store.
+TEST_KEY = b"surrogates for the test tables"
+
+
+@query("op2_surrogates")
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = surrogates.replace_entities(table(spark, sf_dir, "documents"), TEST_KEY)
+    return new.select("doc_id", F.size("entities").cast("long").alias("n_entities"), F.col("new_text").alias("text"))
