@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from flowlake.llm.components import connected_components
 from flowlake.llm.hashing import LOWER, WHITE_SPACE, mix, runs_inside, runs_of, words_of
 from flowlake.llm.sentencepiece_bpe import slices
-from flowlake.llm.tables import stored
+from flowlake.llm.tables import BUILD_SIDE, stored
 
 WORDS = 5
 # J >= 80 %, distance <= 20 %.
@@ -53,7 +53,6 @@ PIVOTS = 32
 ORDER_DOCUMENTS = 5_000
 ORDER_SHINGLES = 100_000
 SLICE_BYTES = 3_000_000
-DEBUG = False
 
 
 def shingles_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,7 +155,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, salt: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(bounds, pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(2), node, lists], ["wanted", "node", "shingles"])
 
-    rows = docs.join(wanted.withColumnsRenamed({"doc_id": "__id", "node": "wanted"}), F.col("doc_id").eqNullSafe(F.col("__id")))
+    rows = docs.join(wanted.withColumnsRenamed({"doc_id": "__id", "node": "wanted"}).hint(BUILD_SIDE), F.col("doc_id").eqNullSafe(F.col("__id")))
     found = rows.select("doc_id", "text", "wanted").mapInArrow(run, "wanted long, node long, shingles array<long>")
     return found.filter("wanted = node").select("node", "shingles")
 
@@ -182,31 +181,35 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")]
 
 
-def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame | None:
-    """node, component: over all regions."""
+def _relabelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """rows with their component replaced by the one it has become part of."""
+    new = groups.select(F.col("node").alias("old"), F.col("component").alias("new"))
+    joined = rows.join(new, F.col("component") == F.col("old"), "left")
+    return stored(joined.withColumn("component", F.coalesce("new", "component")).select(*rows.columns), "components")
+
+
+def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame:
+    """node, component: over all regions; classes in no region are left out."""
     regions = _regions(docs, _frequent(docs), salt)
     pivots = regions.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("other"), F.min_by("n", "node").alias("pivot_n"))
     pivots = stored(pivots.filter("pivot < other").select("shingle", "pivot", "pivot_n"), "first-pivots")
     rows = stored(regions.join(pivots, "shingle").select("shingle", "node", "n", "pivot", "pivot_n").distinct(), "regions")
-    wanted = members.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(rows.select("node").distinct(), "node")
+    wanted = stored(members.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(rows.select("node").distinct(), "node"), "wanted-classes")
     sets = stored(_sets(docs, wanted.select("doc_id", "node"), salt), "shingle-sets")
     pairs = rows.filter((F.col("node") != F.col("pivot")) & _similar_size(F.col("n"), F.col("pivot_n"))).select(*_pair("node", "pivot")).distinct()
     measured = stored(_distances(pairs, sets), "distances")
     links = _linked(measured).select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    groups = connected_components(links)
+    labels = _relabelled(wanted.select("node", F.col("node").alias("component")), connected_components(links))
     # What is left: members with their distance to the first pivot, if measured.
     far = measured.select("lo", "hi", (1 - F.col("common") / F.col("either")).alias("away"))
     rest = rows.withColumns({"lo": F.least("node", "pivot"), "hi": F.greatest("node", "pivot")}).join(far, ["lo", "hi"], "left")
-    rest = rest.filter("node != pivot").select("shingle", "node", "n", "away")
+    rest = rest.filter("node != pivot").select("shingle", "node", "n", "away").join(labels, "node")
     while True:
-        rest = rest.join(groups.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left")
-        rest = stored(rest.select("shingle", "node", "n", "away", F.coalesce("component", "node").alias("component")), "unfinished-members")
+        rest = stored(rest, "unfinished-members")
         several = rest.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("shingle")
         rest = stored(rest.join(several, "shingle", "left_semi"), "unfinished-regions")
-        if DEBUG:
-            print("rest", rest.count(), several.count(), rest.groupBy("shingle").count().agg(F.max("count"), F.expr("percentile(count, array(0.5,0.9,0.99,0.999))")).first(), flush=True)
         if rest.isEmpty():
-            return groups
+            return labels
         # Up to PIVOTS new pivots, one of each hash class of members.
         chosen = rest.groupBy("shingle", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("class")).agg(
             F.min(F.struct("node", "n", "away", "component")).alias("p"))
@@ -215,13 +218,14 @@ def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame |
         window = F.coalesce(F.abs(F.col("away") - F.col("pivot_away")) <= RADIUS + 1e-9, F.lit(True))
         pairs = rest.join(chosen, "shingle").filter(
             (F.col("component") != F.col("pivot_component")) & _similar_size(F.col("n"), F.col("pivot_n")) & window)
-        pairs = stored(pairs.select(*_pair("node", "pivot")).distinct(), "next-pairs")
-        if DEBUG:
-            print("pairs", pairs.count(), flush=True)
-        links = stored(links.unionAll(_linked(_distances(pairs, sets)).select(F.col("lo").alias("a"), F.col("hi").alias("b"))), "links")
-        groups = connected_components(links)
-        done = chosen.select("shingle", F.col("pivot").alias("node"))
-        rest = rest.drop("component").join(done, ["shingle", "node"], "left_anti")
+        measured = _distances(pairs.select(*_pair("node", "pivot")).distinct(), sets)
+        own, other = (labels.toDF(f"node_{x}", x) for x in "ab")
+        links = _linked(measured).join(own, F.col("lo") == F.col("node_a")).join(other, F.col("hi") == F.col("node_b"))
+        links = stored(links.select("a", "b").distinct(), "component-links")
+        rest = rest.join(chosen.select("shingle", F.col("pivot").alias("node")), ["shingle", "node"], "left_anti")
+        if not links.isEmpty():
+            groups = connected_components(links)
+            labels, rest = _relabelled(labels, groups), _relabelled(rest, groups)
 
 
 def find_components(docs: DataFrame, text: str = "text") -> DataFrame:

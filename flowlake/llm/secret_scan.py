@@ -24,6 +24,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.llm.tables import BUILD_SIDE
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -187,7 +189,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", k
     rows = docs.select(*(F.col(c) for c in keep), F.coalesce(F.col(text), F.lit("")).alias("__text"), F.col("doc_id").alias("__id"))
     if indexed:
         found = candidates(postings(rows, trigrams, "__text", "__id"), indexed)
-        rows = rows.join(found, F.col("__id").eqNullSafe(F.col("__doc_id")), "left")
+        rows = rows.join(found.hint(BUILD_SIDE), F.col("__id").eqNullSafe(F.col("__doc_id")), "left")
     nothing = F.expr(f"cast(array() as {SPANS})")
     order = {r.kind: i for i, r in enumerate(rules)}
     rank = F.create_map(*(F.lit(x) for pair in order.items() for x in pair))

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from flowlake.llm.hashing import mix, runs_inside, runs_of, words_of
 from flowlake.llm.sentencepiece_bpe import slices
-from flowlake.llm.tables import stored
+from flowlake.llm.tables import BUILD_SIDE, stored
 
 BLOCK, WINDOW = 10, 20
 SALT = 0x2545F491
@@ -246,7 +246,7 @@ def repeated_windows(docs: DataFrame, text: str = "text") -> DataFrame:
     twins = texts.select("__key", F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y"), F.octet_length(text).alias("z"))
     first = stored(twins.groupBy("x", "y", "z").agg(F.min("__key").alias("first"), F.max("__key").alias("last")).filter("first < last"), "copied-texts")
     copies = stored(twins.join(first, ["x", "y", "z"]).filter("__key > first").select(F.col("__key").alias("key")), "copies")
-    rows = texts.join(hits.join(copies, "key", "left_anti"), F.col("__key") == F.col("key")).select("key", text, "hits")
+    rows = texts.join(hits.join(copies, "key", "left_anti").hint(BUILD_SIDE), F.col("__key") == F.col("key")).select("key", text, "hits")
     windows = stored(_windows(rows), "windows")
     single = windows.filter("NOT again").groupBy("a", "b").agg(F.min("key").alias("first"), F.max("key").alias("last"))
     single = stored(single.filter("first < last").select("a", "b", "first"), "first-windows")
@@ -264,7 +264,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_
     keep = list(keep)
     keyed = _keyed(docs.select(*dict.fromkeys(["doc_id", *keep, text])), text)
     gone = stored(repeated_windows(keyed, text), "repeats")
-    rows = keyed.join(gone, F.col("__key") == F.col("key"), "left").select(*keep, F.col(text).alias("__text"), "starts", "whole")
+    rows = keyed.join(gone.hint(BUILD_SIDE), F.col("__key") == F.col("key"), "left").select(*keep, F.col(text).alias("__text"), "starts", "whole")
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlake.llm.tables import stored
+from flowlake.llm.tables import BUILD_SIDE, stored
 
 MALE = ("Mr", "Mister", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Signor", "господин", "Господин", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Lady", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Signora", "госпожа", "Госпожа", "г-жа")
@@ -220,7 +220,7 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text", keep: list
 
         where = rows.select("__text", F.col("__id").cast("long"), "__hash").mapInArrow(which, "i long, h long, kind string, entity string").distinct()
         own = where.join(changed, ["kind", "entity"]).groupBy("i", "h").agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias("__own"))
-        rows = rows.join(own, F.col("__id").eqNullSafe(F.col("i")) & F.col("__hash").eqNullSafe(F.col("h")), "left")
+        rows = rows.join(own.hint(BUILD_SIDE), F.col("__id").eqNullSafe(F.col("i")) & F.col("__hash").eqNullSafe(F.col("h")), "left")
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# For the side of a join that is no table of texts. It grows with the documents
+# like the other side, so it is never broadcast, and texts needn't be sorted.
+BUILD_SIDE = "shuffle_hash"
+
 # Lets Spark drop a query's shuffle files as soon as the query has ended.
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
