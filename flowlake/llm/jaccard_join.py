@@ -164,6 +164,25 @@ def _similar_size(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
+class Measure:
+    """Exact distances of pairs. The shingles of a class are read when it is
+    first in a pair, and kept for later rounds."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, salt: int) -> None:
+        self.docs, self.classes, self.salt, self.sets = docs, classes, salt, None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs.distinct(), "pairs")
+        nodes = pairs.select(F.col("lo").alias("node")).unionAll(pairs.select("hi")).distinct()
+        if self.sets is not None:
+            nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
+        wanted = stored(self.classes.join(nodes, "node"), "wanted-classes")
+        if not wanted.isEmpty():
+            more = stored(_sets(self.docs, wanted.select("doc_id", "node"), self.salt), "shingle-sets")
+            self.sets = more if self.sets is None else self.sets.unionAll(more)
+        return _distances(pairs, self.sets) if self.sets is not None else pairs.selectExpr("lo", "hi", "0 AS common", "1 AS either")
+
+
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """lo, hi, common and either (sizes of intersection and union) of pairs."""
     left = sets.select(F.col("node").alias("lo"), F.col("shingles").alias("a"))
@@ -194,12 +213,13 @@ def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame:
     pivots = regions.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("other"), F.min_by("n", "node").alias("pivot_n"))
     pivots = stored(pivots.filter("pivot < other").select("shingle", "pivot", "pivot_n"), "first-pivots")
     rows = stored(regions.join(pivots, "shingle").select("shingle", "node", "n", "pivot", "pivot_n").distinct(), "regions")
-    wanted = stored(members.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(rows.select("node").distinct(), "node"), "wanted-classes")
-    sets = stored(_sets(docs, wanted.select("doc_id", "node"), salt), "shingle-sets")
-    pairs = rows.filter((F.col("node") != F.col("pivot")) & _similar_size(F.col("n"), F.col("pivot_n"))).select(*_pair("node", "pivot")).distinct()
-    measured = stored(_distances(pairs, sets), "distances")
+    classes = members.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    classes = stored(classes.join(rows.select("node").distinct(), "node").select("doc_id", "node"), "region-classes")
+    measure = Measure(docs, classes, salt)
+    pairs = rows.filter((F.col("node") != F.col("pivot")) & _similar_size(F.col("n"), F.col("pivot_n"))).select(*_pair("node", "pivot"))
+    measured = stored(measure.of(pairs), "distances")
     links = _linked(measured).select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    labels = _relabelled(wanted.select("node", F.col("node").alias("component")), connected_components(links))
+    labels = _relabelled(classes.select("node", F.col("node").alias("component")), connected_components(links))
     # What is left: members with their distance to the first pivot, if measured.
     far = measured.select("lo", "hi", (1 - F.col("common") / F.col("either")).alias("away"))
     rest = rows.withColumns({"lo": F.least("node", "pivot"), "hi": F.greatest("node", "pivot")}).join(far, ["lo", "hi"], "left")
@@ -218,7 +238,7 @@ def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame:
         window = F.coalesce(F.abs(F.col("away") - F.col("pivot_away")) <= RADIUS + 1e-9, F.lit(True))
         pairs = rest.join(chosen, "shingle").filter(
             (F.col("component") != F.col("pivot_component")) & _similar_size(F.col("n"), F.col("pivot_n")) & window)
-        measured = _distances(pairs.select(*_pair("node", "pivot")).distinct(), sets)
+        measured = measure.of(pairs.select(*_pair("node", "pivot")))
         own, other = (labels.toDF(f"node_{x}", x) for x in "ab")
         links = _linked(measured).join(own, F.col("lo") == F.col("node_a")).join(other, F.col("hi") == F.col("node_b"))
         links = stored(links.select("a", "b").distinct(), "component-links")
