@@ -113,9 +113,12 @@ def flow_keys(spec: DatasetSpec) -> list[str]:
 
 def dedup_within_split(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Copies inside one split collapse; a row in both splits stays in both.
-    Of the carried column (difficulty) the smallest value survives."""
-    (carried,) = spec.carried_columns
-    return dedup_smallest(df, connection_keys(spec), carried)
+    Of each carried column (difficulty) the smallest value survives."""
+    keys = connection_keys(spec)
+    if not spec.carried_columns:
+        return df.select(*keys).distinct().select(*[c for c in df.columns if c in keys])
+    kept = df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in spec.carried_columns])
+    return kept.select(*[c for c in df.columns if c in kept.columns])
 
 
 def source_rank(spec: DatasetSpec, source: Column) -> Column:
@@ -159,6 +162,6 @@ def clean_flows(df: DataFrame, spec: DatasetSpec, null_as_nonfinite: bool = Fals
 
 def clean(df: DataFrame, spec: DatasetSpec, null_as_nonfinite: bool = False) -> DataFrame:
     df = df.drop("_corrupt_record")  # a reader's note for the quality report
-    if spec.duration_column is None:
+    if not spec.day_files:
         return clean_connections(df, spec)
     return clean_flows(df, spec, null_as_nonfinite)

@@ -10,6 +10,7 @@ Column names: `is_attack`, `prediction`, `attack_category`,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,8 +27,8 @@ DIGITS = 5
 BUCKET = "score_bucket"
 ROWS = "rows"
 
-# Above this many ordered points a running total is taken slice by slice.
-SINGLE_WINDOW_POINTS = 100_000
+# A running total over more ordered points than this is taken slice by slice.
+SLICE_POINTS = 100_000
 
 
 def _rows(df: DataFrame) -> Column:
@@ -133,21 +134,37 @@ def novel_detection_rate(df: DataFrame) -> DataFrame:
 
 
 def slices_for(points: int) -> int:
-    """How many slices a running total over this many points should have."""
-    if points <= SINGLE_WINDOW_POINTS:
-        return 1
-    return min(1024, max(64, points // 1_000_000))
+    """How many slices a running total over this many points should have. The
+    result does not depend on it."""
+    return max(1, -(-points // SLICE_POINTS))
+
+
+def is_scored(score: Column) -> Column:
+    """Whether a row has a rank at all: null and NaN scores have none. Such rows
+    are left out of every ranked measure, whatever the number of slices."""
+    return score.isNotNull() & ~F.isnan(score)
+
+
+def _above(cuts: Column, order: Column, slices: int) -> Column:
+    """How many of the ascending cuts lie above the value: first among every
+    stride-th of them, then within one stride."""
+    stride = math.isqrt(slices) + 1
+    coarse = F.filter(cuts, lambda cut, i: (i % stride == 0) & (cut <= order))
+    start = F.greatest(F.size(coarse) - 1, F.lit(0)) * stride
+    below = start + F.size(F.filter(F.slice(cuts, start + 1, F.lit(stride)), lambda cut: cut <= order))
+    return F.size(cuts) - below
 
 
 def descending_totals(points: DataFrame, order: str, sums: Sequence[str], slices: int = 1) -> DataFrame:
     """`cum_<c>`: sum of c over this and all points with a higher `order`.
-    `order` must be unique and a double.
+    `order` must be unique and a double; points without one are left out.
 
     With one slice this is a plain running window, right for a bounded number
     of points. Otherwise the points are cut at approximate quantiles, the
     (few) slice totals get the global running window, and every slice runs its
     own window in parallel on top of the total of the slices above it.
     """
+    points = points.filter(is_scored(F.col(order)))
     if slices <= 1:
         running = Window.orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
         return points.withColumns({f"cum_{c}": F.sum(c).over(running) for c in sums})
@@ -155,7 +172,7 @@ def descending_totals(points: DataFrame, order: str, sums: Sequence[str], slices
     cuts = points.select(
         F.percentile_approx(order, fractions, max(10_000, 20 * slices)).alias("cuts")
     ).scalar()
-    above = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut > F.col(order))), F.lit(0))
+    above = F.coalesce(_above(F.col("_cuts"), F.col(order), slices), F.lit(0))
     sliced = points.withColumn("_cuts", cuts).withColumn("_slice", above).drop("_cuts")
     higher = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -182,6 +199,7 @@ def threshold_curve(df: DataFrame, resolution: float = 0.01) -> DataFrame:
         F.sum(_rows(df)).cast("long").alias("n"),
         _total(F.col(LABEL) == 1, _rows(df)).alias("pos"),
     )
+    points = points.filter(is_scored(F.col(BUCKET)))
     slices = slices_for(int(1 / resolution))
     totals = descending_totals(points, BUCKET, ["n", "pos"], slices)
     # All positives: the curve's last running total.
@@ -217,7 +235,8 @@ def _ranked(df: DataFrame, score: str, label: str, slices: int) -> DataFrame:
     drops scores without labelled rows; as it reads both sums, every use of the
     points below needs the same columns and Spark reuses one exchange."""
     rows = _rows(df)
-    points = df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    value = F.col(score).cast("double")
+    points = df.filter(is_scored(value)).groupBy(value.alias("score")).agg(
         _total(F.col(label) == 1, rows).alias("pos"),
         _total(F.col(label) == 0, rows).alias("neg"),
     ).filter("pos + neg > 0")
@@ -227,7 +246,8 @@ def _ranked(df: DataFrame, score: str, label: str, slices: int) -> DataFrame:
 def auc(df: DataFrame, score: str = SCORE, label: str = LABEL, slices: int = 64) -> DataFrame:
     """Exact areas under the ROC curve and under precision over recall, null
     where a class is missing. Trapezoids over the distinct scores from the top,
-    the second curve starting at (0, first precision). The previous point needs
+    the second curve starting at (0, first precision). Rows without a score are
+    left out (`unscored_rows` counts them). The previous point needs
     no lag: it is the running total minus the point's own share."""
     pos, neg, cum_pos, cum_neg = (F.col(c).cast("double") for c in ("pos", "neg", "cum_pos", "cum_neg"))
     here = safe_ratio(cum_pos, cum_pos + cum_neg)
@@ -245,6 +265,11 @@ def auc(df: DataFrame, score: str = SCORE, label: str = LABEL, slices: int = 64)
     )
 
 
+def unscored_rows(df: DataFrame, score: str = SCORE) -> DataFrame:
+    """Rows that the ranked measures leave out."""
+    return df.agg(_total(~is_scored(F.col(score).cast("double")), _rows(df)).alias("unscored_rows"))
+
+
 def auc_roc(df: DataFrame, score: str = SCORE, label: str = LABEL, slices: int = 64) -> DataFrame:
     return auc(df, score, label, slices).select("auc_roc")
 

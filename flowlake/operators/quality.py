@@ -30,13 +30,14 @@ def row_counts(df: DataFrame, source: str) -> DataFrame:
 
 def expected_row_status(df: DataFrame, source: str, expected: Mapping[str, int]) -> DataFrame:
     """Actual against expected rows per source. A mismatch is a status, never a
-    failure; a source without an expectation passes."""
-    counts = row_counts(df, source)
-    wanted = F.lit(None).cast("long")
-    if expected:
-        literal = F.create_map(*[x for k, v in expected.items() for x in (F.lit(k), F.lit(v).cast("long"))])
-        wanted = literal[F.col(source)]
-    return counts.withColumn("expected_rows", wanted).withColumn(
+    failure; a source without an expectation passes, one that is expected and
+    has no rows is reported with 0."""
+    wanted = df.sparkSession.createDataFrame(list(expected.items()), "expected_source string, expected_rows long")
+    both = row_counts(df, source).join(wanted, F.col(source) == F.col("expected_source"), "full")
+    counts = both.select(
+        F.coalesce(source, "expected_source").alias(source), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "expected_rows"
+    )
+    return counts.withColumn(
         "status",
         F.when(F.col("expected_rows").isNull(), F.lit("unchecked"))
         .when(F.col("rows") == F.col("expected_rows"), F.lit("ok"))
@@ -176,7 +177,11 @@ def _report(
             ("duplicates_removed", "", -F.col("_final")),
             ("final_cleaned_rows", "", F.col("_final")),
         ]))
-    return _summed(report)
+    # Every fixed line is there, with 0, even if there are no rows at all.
+    fixed = {(m, k) for m, k, _ in entries if isinstance(k, str)} | {
+        (m, "") for m in ("total_raw_rows", "duplicates_removed", "final_cleaned_rows")}
+    zeros = _long_rows(raw.sparkSession.range(1), [(m, k, F.lit(0)) for m, k in sorted(fixed)])
+    return _summed(report.unionByName(zeros))
 
 
 def dq_stats_connections(
@@ -260,6 +265,6 @@ def dq_stats(
     null_as_nonfinite: bool = False,
     cleaned: DataFrame | None = None,
 ) -> DataFrame:
-    if spec.duration_column is None:
+    if not spec.day_files:
         return dq_stats_connections(df, spec, cleaned)
     return dq_stats_flows(df, spec, sources, null_as_nonfinite, cleaned)

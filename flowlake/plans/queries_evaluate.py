@@ -139,6 +139,22 @@ def ml_auc_pr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.auc_pr(_scored(spark, sf_dir))
 
 
+@query("ml_auc_nulls", twin("""
+    SELECT round(sum(n * (2 * cp - p) / cast(2 as double)) / (cast(sum(p) as double) * sum(n)), 5) AS auc_roc,
+        (SELECT count(*) FROM pred WHERE event_id % 10 <= 1) AS unscored_rows
+    FROM (SELECT p, n, sum(p) OVER (ORDER BY s DESC) AS cp FROM (
+        SELECT s, sum(y) AS p, sum(1 - y) AS n FROM (
+            SELECT is_attack AS y, attack_probability + flow_duration / cast(100000 as double) AS s FROM pred WHERE event_id % 10 > 1)
+        GROUP BY s))"""))
+def ml_auc_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose score is null or NaN are counted, not ranked."""
+    gap = F.col("event_id") % 10
+    mixed = F.col("attack_probability") + F.col("flow_duration") / F.lit(100000.0)
+    some = predictions(spark, sf_dir).select("is_attack", F.when(gap == 0, None).when(gap == 1, F.lit(float("nan")))
+                                             .otherwise(mixed).alias("attack_probability"))
+    return evaluate.auc_roc(some, slices=7).crossJoin(evaluate.unscored_rows(some))
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores with many distinct values, so that slicing is exercised."""
     mixed = F.col("attack_probability") + F.col("flow_duration") / F.lit(100000.0)

@@ -66,12 +66,11 @@ def class_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.select("event_id", "is_attack", F.round("class_weight", 6).alias("class_weight"))
 
 
-@query("feature_columns", twin(f"""
-    SELECT {names(b.CONNECTION_ID)}, {names(NSL_KDD.numeric)}, {flag_list(CONNECTION_FLAGS_SQL)} FROM conn"""))
-def feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model's numeric and flag inputs, found by schema introspection."""
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """Flagged and indexed rows, and the names of all 46 model inputs."""
     rows = engineer_features(b.connections(spark, sf_dir), NSL_KDD.rules)
-    return rows.select(*b.CONNECTION_ID, *learn.feature_columns(rows, NSL_KDD.numeric, []))
+    indexed = learn.index_categories(rows, NSL_KDD.categorical).transform(rows)
+    return indexed, learn.feature_columns(rows, NSL_KDD.numeric, NSL_KDD.categorical)
 
 
 def _index_sql(column: str) -> str:
@@ -79,21 +78,37 @@ def _index_sql(column: str) -> str:
         AS {column}_idx FROM conn GROUP BY {column}) {column}_index"""
 
 
+_INDEXES = " ".join(f"JOIN {_index_sql(c)} ON conn.{c} = {c}_index.{c}" for c in NSL_KDD.categorical)
+_INDEX_NAMES = ", ".join(f"{c}_idx" for c in NSL_KDD.categorical)
+_INPUTS_SQL = (
+    f"SELECT {names(b.CONNECTION_ID, 'conn.')}, {names(NSL_KDD.numeric, 'conn.')},"
+    f" {flag_list(CONNECTION_FLAGS_SQL)}, {_INDEX_NAMES} FROM conn {_INDEXES}"
+)
+
+
+@query("feature_columns", twin(_INPUTS_SQL))
+def feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All model inputs, found by schema introspection."""
+    rows, inputs = _inputs(spark, sf_dir)
+    return rows.select(*b.CONNECTION_ID, *inputs)
+
+
 @query("ml_string_indexer", twin(f"""
-    SELECT {names(b.CONNECTION_ID, 'conn.')}, conn.service, service_idx, conn.flag, flag_idx FROM conn
-    JOIN {_index_sql('service')} ON conn.service = service_index.service
-    JOIN {_index_sql('flag')} ON conn.flag = flag_index.flag"""))
+    SELECT {names(b.CONNECTION_ID, 'conn.')}, {names(NSL_KDD.categorical, 'conn.')}, {_INDEX_NAMES} FROM conn {_INDEXES}"""))
 def ml_string_indexer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.connections(spark, sf_dir).select(*b.CONNECTION_ID, "service", "flag")
-    return learn.index_categories(rows, ["service", "flag"]).transform(rows)
+    rows = b.connections(spark, sf_dir).select(*b.CONNECTION_ID, *NSL_KDD.categorical)
+    return learn.index_categories(rows, NSL_KDD.categorical).transform(rows)
 
 
-@query("ml_assembler", twin("SELECT event_id, cast(flow_duration as double) AS first, attack_probability AS second FROM flow"))
+@query("ml_assembler", twin(
+    f"SELECT {names(b.CONNECTION_ID)}, {', '.join(f'cast({c} as double) AS {c}' for c in [*map(names, [[n] for n in NSL_KDD.numeric])])},"
+    f" COLUMNS('rule_flag_.*')::DOUBLE, {_INDEX_NAMES} FROM ({_INPUTS_SQL})"))
 def ml_assembler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.flows(spark, sf_dir).select("event_id", "flow_duration", "attack_probability")
-    vectors = learn.assembler(["flow_duration", "attack_probability"]).transform(rows)
+    """The vector of all inputs, taken apart again."""
+    rows, inputs = _inputs(spark, sf_dir)
     entries = vector_to_array(F.col("features"))
-    return vectors.select("event_id", entries[0].alias("first"), entries[1].alias("second"))
+    vectors = learn.assembler(inputs).transform(rows)
+    return vectors.select(*b.CONNECTION_ID, *[entries[i].alias(c) for i, c in enumerate(inputs)])
 
 
 @query("ml_gbt_train")
@@ -126,12 +141,11 @@ def top_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ml_train_and_evaluate")
 def ml_train_and_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A small model of its own: three numeric inputs, the flags, one category."""
+    """A model on the bare train and test tables, with all inputs."""
     features = _features(spark, sf_dir, NSL_KDD.name)
     _, metrics = learn.train_and_evaluate(
         clean.filter_split(features, "train"), clean.filter_split(features, "test"),
-        ["duration", "src_bytes", "dst_bytes"], ["protocol_type"],
-        learn.TreeSettings(max_iter=10), partitions=spark.sparkContext.defaultParallelism,
+        NSL_KDD.numeric, NSL_KDD.categorical, partitions=spark.sparkContext.defaultParallelism,
     )
     return learn.metrics_rows(spark, metrics)
 

@@ -84,11 +84,11 @@ def src_registry_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("src_parquet", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 100000")
+@query("src_parquet", """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders""")
 def src_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.read_table(spark, f"{sf_dir}/orders.parquet").filter("o_totalprice > 100000").select(
-        "o_orderkey", "o_custkey", "o_totalprice"
-    )
+    orders = readers.read_table(spark, f"{sf_dir}/orders.parquet")
+    return orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
 @query("sink_parquet_partitioned", twin(f"SELECT {names(CONNECTION_KEY)}, difficulty FROM conn"))
@@ -126,28 +126,25 @@ def read_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_report(spark, _stored_report(spark, sf_dir)).drop("text")
 
 
-@query("src_rows", twin("""
-    SELECT flow_id, dataset_source, predicted_label, attack_probability FROM served
-    ORDER BY flow_id LIMIT 2000"""))
+@query("src_rows", """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, cast(weight as double) AS weight, note FROM lineitem
+    JOIN (VALUES ('R', 2.5, NULL), ('A', NULL, 'early'), ('N', 0.5, 'late')) w(flag, weight, note) ON l_returnflag = flag""")
 def src_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A served page's records (at most 2000) as a DataFrame again."""
-    page = serve.flows_page(stored(spark, sf_dir), limit=2000).items
-    wanted = ["flow_id", "dataset_source", "predicted_label", "attack_probability"]
-    records = [row.asDict() for row in page.select(*wanted).collect()]
-    return readers.rows_to_frame(
-        spark, records,
-        "flow_id STRING, dataset_source STRING, predicted_label INT, attack_probability DOUBLE",
-    )
+    """A request's records, with fields left out, met by a whole table."""
+    records = [{"flag": "R", "weight": 2.5}, {"flag": "A", "note": "early"}, {"flag": "N", "weight": 0.5, "note": "late"}]
+    request = readers.rows_to_frame(spark, records, "flag STRING, weight DOUBLE, note STRING")
+    lines = b.table(spark, sf_dir, "lineitem").select(*b.CONNECTION_ID, "l_returnflag")
+    return lines.join(request, lines.l_returnflag == request.flag).drop("flag")
 
 
 @query("dq_expected_rows", """
-    SELECT l_returnflag, count(*) AS "rows", cast(max(e) as bigint) AS expected_rows,
-        case when max(e) is null then 'unchecked' when max(e) = count(*) then 'ok' else 'mismatch' end AS status
-    FROM lineitem LEFT JOIN (VALUES ('A', 20028), ('N', 1)) w(f, e) ON l_returnflag = f
-    GROUP BY l_returnflag""")
+    SELECT coalesce(l_returnflag, f) AS l_returnflag, coalesce(n, 0) AS "rows", cast(e as bigint) AS expected_rows,
+        case when e is null then 'unchecked' when e = coalesce(n, 0) then 'ok' else 'mismatch' end AS status
+    FROM (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag)
+    FULL JOIN (VALUES ('A', 20028), ('N', 1), ('absent', 5)) w(f, e) ON l_returnflag = f""")
 def dq_expected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.expected_row_status(
-        b.table(spark, sf_dir, "lineitem"), "l_returnflag", {"A": 20028, "N": 1}
+        b.table(spark, sf_dir, "lineitem"), "l_returnflag", {"A": 20028, "N": 1, "absent": 5}
     )
 
 

@@ -15,6 +15,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Many small partitions before the shuffle; AQE merges what is too small,
+    # but cannot split what an aggregate reads.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     # Shuffle-written tables (the cleaned ones) get files of about this size.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
@@ -33,10 +36,13 @@ def get_session(app_name: str, **extra: str) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster shares (`spark.checkpoint.dir`). Where none is
-    configured, as in local tests, a temporary one is made and registered."""
+    configured a local master gets a temporary one; a cluster is an error, as
+    its machines would each see a folder of their own."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="flowlake-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

@@ -58,12 +58,12 @@ def read_positional_csv(
     return df.withColumns({k: F.lit(v) for k, v in tags.items()})
 
 
-def resolve_sources(files: Mapping[str, str], keys: Sequence[str]) -> dict[str, str]:
-    """Source keys to file names. An unknown key fails before any read."""
-    unknown = [k for k in keys if k not in files]
-    if unknown:
-        raise ValueError(f"Unknown source key(s) {unknown}. Valid keys: {sorted(files)}")
-    return {k: files[k] for k in keys}
+def source_file(spec: DatasetSpec, folder: str, source: str) -> str:
+    """Path of a source's raw file; a source the dataset lacks is an error."""
+    try:
+        return os.path.join(folder, spec.files[source])
+    except KeyError:
+        raise ValueError(f"{spec.name} has no source {source!r}, only {', '.join(spec.files)}") from None
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -82,20 +82,15 @@ def read_registry(
 ) -> DataFrame:
     """Union of a dataset's raw sources, each tagged with its split (train if
     listed as a train source, else test) and, for day files, `source_day`."""
-    resolved = resolve_sources(spec.files, tuple(keys) if keys else spec.default_sources)
     schema = raw_schema(spec)
+    paths = {key: source_file(spec, folder, key) for key in keys or spec.default_sources}
     frames = []
-    for key, filename in resolved.items():
-        path = os.path.join(folder, filename)
-        if spec.duration_column is None:
-            frame = read_headerless_csv(
-                spark, path, schema, keep_corrupt=keep_corrupt, split=spec.split_of(key)
-            )
+    for key, path in paths.items():
+        tags = {"split": spec.split_of(key)} | ({"source_day": key} if spec.day_files else {})
+        if spec.header_line:
+            frame = read_positional_csv(spark, path, schema, spec.dropped_columns, keep_corrupt, **tags)
         else:
-            frame = read_positional_csv(
-                spark, path, schema, drop=spec.dropped_columns, keep_corrupt=keep_corrupt,
-                source_day=key, split=spec.split_of(key),
-            )
+            frame = read_headerless_csv(spark, path, schema, keep_corrupt, **tags).drop(*spec.dropped_columns)
         frames.append(frame)
     return union_all(frames)
 
@@ -127,8 +122,11 @@ def read_report(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def load_model(spark: SparkSession, path: str) -> PipelineModel:
-    """A fitted pipeline, read once per application and path."""
+def load_model(spark: SparkSession, path: str, keep: bool = False) -> PipelineModel:
+    """A fitted pipeline. With `keep` it is read once per application and path:
+    right for many small requests, not for a batch after a retrain."""
+    if not keep:
+        return PipelineModel.load(path)
     key = (spark.sparkContext.applicationId, path)
     if key not in _MODELS:
         _MODELS[key] = PipelineModel.load(path)

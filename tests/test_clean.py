@@ -217,5 +217,11 @@ def test_report_with_a_stored_cleaned_table_is_the_same(spark, tmp_path, nulls):
         assert any(w in plan_of(alone) for w in wide)
 
 
-def test_empty_raw_table_reports_nothing(spark):
-    assert quality.dq_stats(flows(spark, [flow("monday")]).filter("false"), CICIDS2017).count() == 0
+def test_empty_raw_table_reports_zeros(spark):
+    report = quality.dq_stats(flows(spark, [flow("monday")]).filter("false"), CICIDS2017).collect()
+    assert report and all(r.value == 0 for r in report)
+
+
+def test_empty_input_gives_zero_lines(spark):
+    report = {(r.metric, r.key): r.value for r in quality.dq_stats(connections(spark, [connection("train")]).limit(0), NSL_KDD).collect()}
+    assert report[("total_raw_rows", "")] == report[("raw_row_counts", "test")] == 0

@@ -16,20 +16,16 @@ def curve_of(spark, rows, resolution=0.1):
     return {round(p.threshold, 5): p for p in points}
 
 
-def test_recall_falls_as_the_threshold_rises(spark):
-    curve = curve_of(spark, [(1, 0.9), (1, 0.6), (0, 0.4), (0, 0.1)])
+def test_curve_is_monotone_and_starts_with_everything(spark):
+    rows = [(int(i % 3 == 0), i / 40) for i in range(3, 37)]
+    curve = curve_of(spark, rows, 0.05)
     recalls = [curve[t].recall for t in sorted(curve)]
-    assert recalls == sorted(recalls, reverse=True)
+    assert all(a >= b for a, b in zip(recalls, recalls[1:])) and recalls[0] == 1.0
 
 
-def test_lowest_threshold_catches_everything(spark):
-    curve = curve_of(spark, [(1, 0.9), (1, 0.05), (0, 0.5)])
-    assert curve[min(curve)].recall == 1.0
-
-
-def test_tie_at_a_threshold(spark):
-    curve = curve_of(spark, [(1, 0.5), (0, 0.5), (0, 0.1)])
-    assert (curve[0.5].precision, curve[0.5].recall) == (0.5, 1.0)
+def test_equal_scores_share_a_point(spark):
+    curve = curve_of(spark, [(1, 0.7), (0, 0.7), (0, 0.7), (1, 0.2)])
+    assert (curve[0.7].precision, curve[0.7].recall) == (0.33333, 0.5)
 
 
 def test_curve_without_positives_or_rows(spark):
@@ -118,7 +114,19 @@ def test_running_totals_by_slices(spark):
 
 
 def test_slices_grow_with_the_points():
-    assert [evaluate.slices_for(n) for n in (0, 100_000, 100_001, 10**9, 10**12)] == [1, 1, 64, 1000, 1024]
+    assert [evaluate.slices_for(n) for n in (0, 100_000, 100_001, 10**9, 10**12)] == [1, 1, 2, 10**4, 10**7]
+
+
+@pytest.mark.parametrize("slices", [1, 7, 64])
+def test_rows_without_a_score_are_left_out(spark, slices):
+    rng = random.Random(8)
+    scored = [(int(rng.random() < 0.4), rng.random()) for _ in range(300)]
+    gaps = [(i % 2, None if i % 3 else float("nan")) for i in range(60)]
+    whole, bare = (spark.createDataFrame(rows, SCHEMA) for rows in (scored + gaps, scored))
+    assert evaluate.auc(whole, slices=slices).first() == evaluate.auc(bare, slices=1).first()
+    assert evaluate.unscored_rows(whole).first().unscored_rows == 60
+    assert None not in curve_of(spark, scored[:5] + [(1, 0.5)])
+    assert evaluate.threshold_curve(whole).collect() == evaluate.threshold_curve(bare).collect()
 
 
 def test_auc_scans_once(spark, tmp_path):

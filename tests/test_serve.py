@@ -19,16 +19,16 @@ FLOW_SCHEMA = """destination_port int, flow_duration double, total_length_of_fwd
 @pytest.fixture(scope="module")
 def scored_connections(spark):
     return spark.createDataFrame([
-        ("tcp", "http", 5.0, 100.0, 200.0, 0, "Benign", 0.0, 0.12, "", "test"),
-        ("udp", "private", 0.0, 0.0, 0.0, 1, "DoS", 1.0, 0.91, "high_connection_rate", "test"),
+        ("icmp", "eco_i", 31.5, 8.0, 1024.0, 0, "Benign", 1.0, 0.61, "land_attack,high_error_rate", "train"),
+        ("udp", "domain_u", 2.0, 44.0, 0.0, 1, "DoS", 0.0, 0.33, "", "test"),
     ], CONNECTION_SCHEMA)
 
 
 @pytest.fixture(scope="module")
 def scored_flows(spark):
     return spark.createDataFrame([
-        (80, 5000.0, 300.0, 150.0, 0, "Benign", 0.0, 0.05, "", "train", "monday"),
-        (443, 12.0, 0.0, 0.0, 1, "DoS", 1.0, 0.97, "zero_payload", "test", "friday_ddos"),
+        (8080, 77.0, 12.0, 9000.0, 0, "Benign", 1.0, 0.58, "asymmetric_flow", "test", "friday_ddos"),
+        (22, 640000.0, 5.0, 0.0, 1, "DoS", 0.0, 0.44, "", "train", "wednesday"),
     ], FLOW_SCHEMA)
 
 
@@ -36,15 +36,15 @@ def test_connections_on_the_common_schema(scored_connections):
     out = serve.project_common_schema(scored_connections, "nsl_kdd", ["protocol_type", "service"])
     assert tuple(out.columns) == serve.COMMON_COLUMNS
     row = out.filter("attack_category_actual = 'DoS'").first()
-    assert (row.protocol, row.source_day, row.duration, row.predicted_label) == ("udp", None, 0.0, 1)
-    assert json.loads(row.raw_features) == {"protocol_type": "udp", "service": "private"}
+    assert (row.protocol, row.source_day, row.duration, row.predicted_label) == ("udp", None, 2.0, 0)
+    assert json.loads(row.raw_features) == {"protocol_type": "udp", "service": "domain_u"}
     assert dict(out.dtypes)["source_day"] == "string" and dict(out.dtypes)["predicted_label"] == "int"
 
 
 def test_flows_on_the_common_schema(scored_flows):
     rows = {r.attack_category_actual: r for r in serve.project_common_schema(scored_flows, "cicids2017", ["flow_duration"]).collect()}
-    assert (rows["Benign"].bytes_sent, rows["Benign"].bytes_received, rows["Benign"].duration) == (300.0, 150.0, 5000.0)
-    assert rows["Benign"].protocol is None and rows["DoS"].source_day == "friday_ddos"
+    assert (rows["Benign"].bytes_sent, rows["Benign"].bytes_received, rows["Benign"].duration) == (12.0, 9000.0, 77.0)
+    assert rows["Benign"].protocol is None and rows["DoS"].source_day == "wednesday"
 
 
 def test_union_of_both(scored_connections, scored_flows):
@@ -196,3 +196,21 @@ def test_pages_in_another_time_zone(spark, table):
         assert [r.flow_id for r in serve.flows_page(table, limit=30, offset=5).items.collect()] == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("deep", [False, True])
+def test_pages_keep_rows_with_nulls(spark, monkeypatch, deep):
+    if deep:
+        monkeypatch.setattr(serve, "DEEP_PAGE_ROWS", 0)
+    rows = [(f"nsl_kdd-{i:032x}" if i % 5 else None, "nsl_kdd", None if i % 3 == 0 else i % 2) for i in range(20)]
+    df = spark.createDataFrame(rows, "flow_id string, dataset_source string, t int").select(
+        "flow_id", "dataset_source", F.timestamp_seconds("t").alias("scored_at"))
+    page = serve.flows_page(df, limit=20)
+    assert page.items.count() == page.total.first().total == 20
+
+
+def test_lookup_prunes_the_other_datasets(spark, tmp_path):
+    path = str(tmp_path / "served")
+    spark.createDataFrame([("a-1", "a"), ("b-1", "b")], "flow_id string, dataset_source string").write.partitionBy("dataset_source").parquet(path)
+    found = serve.lookup_by_id(spark.read.parquet(path), "b-1")
+    assert "PartitionFilters: [isnotnull(dataset_source" in plan_of(found) and found.count() == 1

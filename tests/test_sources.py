@@ -25,7 +25,7 @@ def test_spec_counts():
     assert len(NSL_KDD.numeric) == 38 and len(CICIDS2017.numeric) == 77
     assert len(NSL_KDD.taxonomy) == 40 and len(CICIDS2017.taxonomy) == 18
     assert set(SPECS) == {"nsl_kdd", "cicids2017"}
-    with pytest.raises(ValueError, match="dataset must be one of"):
+    with pytest.raises(ValueError, match="no dataset .other."):
         spec_for("other")
 
 
@@ -62,7 +62,7 @@ def test_malformed_lines_are_kept_for_counting(spark, tmp_path):
 
 
 def test_registry_fails_fast_and_tags(spark, tmp_path):
-    with pytest.raises(ValueError, match="Unknown source key"):
+    with pytest.raises(ValueError, match="no source .sunday."):
         readers.read_registry(spark, CICIDS2017, str(tmp_path), ["monday", "sunday"])
     for day in ("monday", "friday_ddos"):
         (tmp_path / CICIDS2017.files[day]).write_text(
@@ -73,9 +73,8 @@ def test_registry_fails_fast_and_tags(spark, tmp_path):
 
 
 def test_default_sources(spark, tmp_path):
-    assert readers.resolve_sources(CICIDS2017.files, CICIDS2017.default_sources).keys() == {
-        "monday", "wednesday", "friday_ddos"
-    }
+    assert CICIDS2017.default_sources == ("monday", "wednesday", "friday_ddos")
+    assert readers.source_file(NSL_KDD, "raw", "test") == "raw/KDDTest+.txt"
 
 
 def test_rows_to_frame(spark):
@@ -143,3 +142,23 @@ def test_expected_rows(spark):
     got = {r.source: (r.rows, r.status) for r in quality.expected_row_status(df, "source", {"a": 3, "b": 5}).collect()}
     assert got == {"a": (3, "ok"), "b": (2, "mismatch"), "c": (1, "unchecked")}
     assert NSL_KDD.expected_rows == {"train": 125_973, "test": 22_544}
+
+
+def test_expected_rows_of_an_absent_source(spark):
+    df = spark.createDataFrame([("train",)], "split string")
+    got = {r.split: (r["rows"], r.status) for r in quality.expected_row_status(df, "split", {"train": 1, "test": 5}).collect()}
+    assert got == {"train": (1, "ok"), "test": (0, "mismatch")}
+    assert quality.expected_row_status(df, "split", {}).first().status == "unchecked"
+
+
+def test_cluster_without_a_shared_folder_is_an_error(monkeypatch):
+    from types import SimpleNamespace
+
+    from flowlake import session
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://somewhere:7077", setCheckpointDir=lambda folder: None)
+    away = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(away)
+    context.master = "local[2]"
+    assert session.shared_folder(away)

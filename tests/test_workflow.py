@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from flowlake.operators import learn, serve
-from flowlake.plans import bindings, workflow
+from flowlake.plans import bindings, catalog, workflow
 from flowlake.sources import readers, sinks
 from flowlake.specs import CICIDS2017, NSL_KDD
 
@@ -104,7 +104,7 @@ def comparable(value):
     return value if value is None else str(value)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.all_oracles()))
 def test_query_equals_its_twin(spark, sf_dir, duck, name):
     df = contract.queries()[name](spark, sf_dir)
     result = duck.execute(contract.oracle_sql()[name])
@@ -118,7 +118,7 @@ def test_query_equals_its_twin(spark, sf_dir, duck, name):
 
 
 def test_every_query_without_a_twin_is_model_output():
-    without = set(contract.queries()) - set(contract.oracle_sql())
+    without = set(catalog.all_queries()) - set(catalog.all_oracles())
     assert without == {
         "ml_gbt_train", "ml_score", "ml_feature_importances", "top_importances", "ml_train_and_evaluate",
         "ml_train_conn", "ml_train_flow", "model_save", "model_load", "score_partial",
