@@ -35,7 +35,8 @@ from flowlake.llm.tables import BUILD_SIDE, stored
 
 MALE = ("Mr", "Mister", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Signor", "господин", "Господин", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Lady", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Signora", "госпожа", "Госпожа", "г-жа")
-_ADDRESS = "|".join(sorted(map(re.escape, MALE + FEMALE), key=len, reverse=True))
+_FORMS = {form: kind for kind, own in (("name_m", MALE), ("name_f", FEMALE)) for word in own for form in (word, word.upper())}
+_ADDRESS = "|".join(sorted(map(re.escape, _FORMS), key=len, reverse=True))
 _NAME_WORD = r"[^\W\d_a-zà-öø-ÿа-я][^\W\d_]+(?:-[^\W\d_]+)?"
 
 ENTITIES = re.compile(rf"""
@@ -155,7 +156,7 @@ def mentions(text: str | None) -> list[tuple[str, int, int]]:
     for m in ENTITIES.finditer(text):
         kind = m.lastgroup
         if kind == "name":
-            found.append(("name_f" if m["address"] in FEMALE else "name_m", *m.span("name")))
+            found.append((_FORMS[m["address"]], *m.span("name")))
         else:
             found.append((kind, m.start(), m.end()))
     return found

@@ -1,0 +1,135 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from flowlake.llm import embedding_dedup, toxicity
+from flowlake.llm.queries_models import held_out
+
+VECTORS = "vec_id long, embedding array<float>, label int, rep long, size int, kept string"
+
+
+def brute_links(rows):
+    lengths = [len(v) for _, v in rows if v]
+    usual = max(sorted(set(lengths)), key=lengths.count) if lengths else 0
+    fine = [i is not None and bool(v) and len(v) == usual and all(x is not None and math.isfinite(x) for x in v) and any(v) for i, v in rows]
+    unit = [np.array(v, np.float64) / np.linalg.norm(np.array(v, np.float64)) if ok else None for (_, v), ok in zip(rows, fine)]
+    links = [[j for j in range(len(rows)) if j != i and fine[i] and fine[j] and unit[i] @ unit[j] >= 0.9] for i in range(len(rows))]
+    label = [r[0] for r in rows]
+    for _ in range(len(rows)):
+        for i, near in enumerate(links):
+            for j in near:
+                label[i] = label[j] = min(label[i], label[j])
+    return sorted(((r[0], len(near), own, r[0] == own) for r, near, own in zip(rows, links, label)), key=str)
+
+
+def vectors(seed, n=150, dims=16):
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        base = rng.normal(size=dims)
+        out += [base + rng.normal(size=dims) * 0.15 for _ in range(1 + 4 * (i % 10 == 0))]
+    out += [out[3]] * 12 + [out[8] * 2.0]
+    return [(i, np.float32(v).tolist()) for i, v in enumerate(out)]
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_links_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    monkeypatch.setattr(embedding_dedup, "CELL_CLASSES", 20)
+    rows = vectors(block) + [(900, None), (901, []), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [1.0] * 3), (905, [None] + [1.0] * 15), (906, [float("inf")] * 16)]
+    df = spark.createDataFrame([(*r, 1, 2, 3, "x") for r in rows], VECTORS).repartition(3)
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.find_near_duplicates(df).collect()), key=str)
+    want = brute_links(rows)
+    true, found = sum(w[1] for w in want), sum(g[1] for g in got)
+    assert [g[0] for g in got] == [w[0] for w in want] and all(g[1] <= w[1] for g, w in zip(got, want))
+    assert found >= 0.95 * true > 0
+    assert [g for g in got if g[0] >= 900] == [w for w in want if w[0] >= 900]
+
+
+def test_recall_on_the_table(spark):
+    path = "/root/testdata/sf0.1/embeddings.parquet"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(path).select("vec_id", "embedding").collect()]
+    unit = np.array([v for _, v in rows], np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    true = int((unit @ unit.T >= 0.9).sum()) - len(rows)
+    found = embedding_dedup.find_near_duplicates(spark.read.parquet(path)).agg(F.sum("n_links")).first()[0]
+    assert 0.9 * true <= found <= true
+
+
+def test_vectors_that_cannot_be_compared(spark):
+    empty = spark.createDataFrame([], VECTORS)
+    assert embedding_dedup.find_near_duplicates(empty).count() == 0
+    odd = spark.createDataFrame([(1, None, 0, 0, 0, ""), (None, [1.0, 2.0], 0, 0, 0, "")], VECTORS)
+    assert {(r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.find_near_duplicates(odd).collect()} == {(1, 0, 1, True), (None, 0, None, True)}
+    same = spark.createDataFrame([(5, [1.0, 0.0], 0, 0, 0, ""), (4, [1.0, -0.0], 0, 0, 0, ""), (4, [1.0, 0.0], 0, 0, 0, "")], VECTORS)
+    assert {(r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.find_near_duplicates(same).collect()} == {(5, 2, 4), (4, 2, 4)}
+
+
+# --- toxicity ------------------------------------------------------------------------
+
+
+def maximal_segments(values):
+    """By the definition: the best segment, then the same left and right of it."""
+    best = max(((sum(values[i:j]), i - j, i, j) for i in range(len(values)) for j in range(i + 1, len(values) + 1)), default=(0, 0, 0, 0))
+    total, _, i, j = best
+    if total <= 1e-12:
+        return []
+    right = [(a + j, b + j, v) for a, b, v in maximal_segments(values[j:])]
+    return maximal_segments(values[:i]) + [(i, j, total)] + right
+
+
+def test_segments_are_the_maximal_ones():
+    rng = random.Random(5)
+    weights = {b"bad": 0.95, b"worse": 1.75}
+    for _ in range(150):
+        tokens = [rng.choice([b"bad", b"worse", b"x", b"x", b"x", b"x"]) for _ in range(rng.randrange(18))]
+        values = [weights.get(t, -toxicity.DRIFT) for t in tokens]
+        got = toxicity.segments(tokens, weights)
+        assert sum(v for _, _, v in got) == pytest.approx(sum(v for _, _, v in maximal_segments(values)))
+        assert max((v for _, _, v in got), default=0) == pytest.approx(max((v for _, _, v in maximal_segments(values)), default=0))
+
+
+def labelled(spark, n=500):
+    rng = random.Random(11)
+    common, bad = [f"w{chr(97 + i)}" for i in range(26)], ["vile", "nasty", "rotten"]
+    docs, labels = [], []
+    for i in range(n):
+        words = [rng.choice(common) for _ in range(rng.randrange(5, 80))]
+        toxic = int(i % 5 == 0)
+        if toxic:
+            at = rng.randrange(len(words))
+            words[at:at] = rng.choices(bad, k=4)
+        docs.append((i, " ".join(words), "en", 0.0))
+        labels.append((i, 1, toxic))
+    docs += [(None, None, "en", 0.0), (n, "", "en", 0.0), (n + 1, "vile " * 3000, "en", 0.0), docs[5]]
+    labels += [(n + 7, 1, 1), (None, 1, 1), (3, 1, None)]
+    return (spark.createDataFrame(docs, "doc_id long, text string, lang string, score double"),
+            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+def test_held_out_texts_are_told_apart(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.fit(docs, labels, lambda doc_id: ~held_out(doc_id))
+    got = toxicity.score(docs, model, keep=["doc_id", "text"])
+    rows = got.join(labels.filter("toxic IS NOT NULL"), "doc_id").filter(held_out(F.col("doc_id"))).collect()
+    right = sum((r.score >= 0.5) == bool(r.toxic) for r in rows)
+    assert len(rows) > 60 and right >= 0.97 * len(rows)
+    by_id = {r.doc_id: r for r in got.collect()}
+    assert by_id[501].score > 0.99 and len(by_id[501].passages) == 1 and by_id[501].passages[0].end == 3000
+    assert by_id[None].score == by_id[500].score < 0.5 and not by_id[500].passages
+    assert all(0 <= r.score <= 1 for r in by_id.values()) and got.count() == docs.count()
+    toxic = by_id[10]
+    words = toxic.text.split()[toxic.passages[0].start:toxic.passages[0].end]
+    assert set(words) & {"vile", "nasty", "rotten"}
+
+
+def test_labels_of_one_kind_or_none(spark):
+    docs, labels = labelled(spark, 30)
+    for chosen, score in ((labels.filter("toxic = 0"), 0.0), (labels.limit(0), 0.0), (labels.filter("toxic = 1"), 1.0)):
+        got = {r.score for r in toxicity.score(docs, toxicity.fit(docs, chosen)).collect()}
+        assert list(got) == [pytest.approx(score, abs=1e-100)]
+    nothing = docs.limit(0)
+    assert toxicity.score(nothing, toxicity.fit(nothing, labels)).count() == 0
