@@ -53,6 +53,8 @@ PIVOTS = 32
 ORDER_DOCUMENTS = 5_000
 ORDER_SHINGLES = 100_000
 SLICE_BYTES = 3_000_000
+# Counts of a class's shingles by hash bucket.
+FOLDS = 128
 
 
 def shingles_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,17 +91,25 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch,
         yield part, part.column(column)
 
 
+def _folded(text: np.ndarray, hashes: np.ndarray, texts: int) -> pa.Array:
+    """How many shingles of each text fall into each of FOLDS buckets."""
+    bucket = (hashes >> np.uint64(40)) & np.uint64(FOLDS - 1)
+    counts = np.bincount(text * FOLDS + bucket.astype(np.int64), minlength=texts * FOLDS)
+    return pa.ListArray.from_arrays(pa.array(np.arange(texts + 1) * FOLDS, pa.int32()), pa.array(counts, pa.int32()))
+
+
 def _members(docs: DataFrame, salt: int) -> DataFrame:
-    """doc_id, n, node and check: two hashes of the shingle set."""
+    """doc_id, n, node and check (two hashes of the shingle set) and folds."""
     def run(batches):
         for batch in batches:
             for part, texts in _texts(batch, 1):
                 text, hashes, n = shingles_of(texts)
                 node, check = (_set_hashes(text, hashes, len(texts), s) for s in (salt, salt + 0x5DEECE66D))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(node), pa.array(check)], ["doc_id", "n", "node", "check"])
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(node), pa.array(check), _folded(text, hashes, len(texts))],
+                    ["doc_id", "n", "node", "check", "folds"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, check long")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, check long, folds array<int>")
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
@@ -165,14 +175,23 @@ def _similar_size(a: Column, b: Column) -> Column:
 
 
 class Measure:
-    """Exact distances of pairs. The shingles of a class are read when it is
-    first in a pair, and kept for later rounds."""
+    """Exact distances of pairs that can be linked.
+
+    Counting shingles by hash bucket brings sets only closer: the sum of the
+    buckets' minima is at least the intersection, that of their maxima at most
+    the union. So a pair that is too far apart by its counts is not linked, and
+    its shingles are not needed. Those of a class are read when it is first in
+    a pair that is left, and kept for later rounds."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, salt: int) -> None:
         self.docs, self.classes, self.salt, self.sets = docs, classes, salt, None
 
     def of(self, pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs.distinct(), "pairs")
+        low, high = (self.classes.select(F.col("node").alias(x), F.col("folds").alias(f"{x}_folds")) for x in ("lo", "hi"))
+        both = pairs.distinct().join(low, "lo").join(high, "hi").select(
+            "lo", "hi", F.zip_with("lo_folds", "hi_folds", lambda a, b: F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))).alias("folds"))
+        total = lambda field: F.aggregate("folds", F.lit(0).cast("long"), lambda acc, x: acc + x[field])
+        pairs = stored(both.filter(total("a") * 100 >= total("b") * PERCENT).select("lo", "hi"), "pairs")
         nodes = pairs.select(F.col("lo").alias("node")).unionAll(pairs.select("hi")).distinct()
         if self.sets is not None:
             nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
@@ -213,8 +232,8 @@ def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame:
     pivots = regions.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("other"), F.min_by("n", "node").alias("pivot_n"))
     pivots = stored(pivots.filter("pivot < other").select("shingle", "pivot", "pivot_n"), "first-pivots")
     rows = stored(regions.join(pivots, "shingle").select("shingle", "node", "n", "pivot", "pivot_n").distinct(), "regions")
-    classes = members.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    classes = stored(classes.join(rows.select("node").distinct(), "node").select("doc_id", "node"), "region-classes")
+    classes = members.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("folds").alias("folds"))
+    classes = stored(classes.join(rows.select("node").distinct(), "node").select("doc_id", "node", "folds"), "region-classes")
     measure = Measure(docs, classes, salt)
     pairs = rows.filter((F.col("node") != F.col("pivot")) & _similar_size(F.col("n"), F.col("pivot_n"))).select(*_pair("node", "pivot"))
     measured = stored(measure.of(pairs), "distances")
