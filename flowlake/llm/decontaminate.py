@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlake.llm.hashing import slices
 from flowlake.llm.tables import stored
 
 WINDOW = 10
@@ -150,7 +151,7 @@ def _scan(texts: DataFrame, pieces: tuple[tuple[int, str], ...], keep: list[str]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _benchmark(pieces)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             own = []
             for i, text in enumerate(batch.column(n).to_pylist()):
                 words = words_in(text)

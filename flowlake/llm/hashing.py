@@ -6,6 +6,7 @@ of every word, and of every run of k words, in a few passes over the batch.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -48,6 +49,20 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return up[:n], down[:n]
 
 
+#: Bytes of a batch turned into Python strings, or handed on, at a time.
+SLICE_BYTES = 8_000_000
+
+
+def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Halves a batch until no part but one of a single row exceeds the bytes."""
+    if batch.num_rows > 1 and batch.nbytes > most:
+        half = batch.num_rows // 2
+        yield from slices(batch.slice(0, half), most)
+        yield from slices(batch.slice(half), most)
+    elif batch.num_rows:
+        yield batch
+
+
 @dataclass
 class Words:
     """starts, ends: byte places in `data`; bounds[d]:bounds[d+1] are the words

@@ -40,8 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.llm.components import connected_components
-from flowlake.llm.hashing import LOWER, WHITE_SPACE, mix, runs_inside, runs_of, words_of
-from flowlake.llm.sentencepiece_bpe import slices
+from flowlake.llm.hashing import LOWER, WHITE_SPACE, mix, runs_inside, runs_of, slices, words_of
 from flowlake.llm.tables import BUILD_SIDE, stored
 
 WORDS = 5

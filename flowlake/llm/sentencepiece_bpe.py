@@ -32,6 +32,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from flowlake.llm.hashing import slices
+
 SPACE = "▁"
 # Distinct cuts a worker remembers at most, and half as many as parts; more only
 # costs time.
@@ -39,8 +41,6 @@ REMEMBERED = 250_000
 # Parts up to this length keep their agenda as a list.
 SHORT = 48
 NEVER = float("inf")
-# Rows turned into Python strings at a time.
-SLICE_BYTES = 8_000_000
 
 
 class MergeVocabulary:
@@ -176,14 +176,6 @@ def vocabulary(model: bytes) -> MergeVocabulary:
     return MergeVocabulary(model)
 
 
-def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch so that no slice but one of a single row exceeds the bytes."""
-    rows = batch.num_rows
-    step = max(1, int(rows * most / max(1, batch.nbytes)))
-    for at in range(0, rows, step):
-        yield batch.slice(at, step)
-
-
 def encode_decode(docs: DataFrame, model: bytes, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
     """The kept columns, ids array<int> and decoded string. `model` is the
     content of the model file, so executors need no copy of it."""

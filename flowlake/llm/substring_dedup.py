@@ -36,8 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlake.llm.hashing import mix, runs_inside, runs_of, words_of
-from flowlake.llm.sentencepiece_bpe import slices
+from flowlake.llm.hashing import mix, runs_inside, runs_of, slices, words_of
 from flowlake.llm.tables import BUILD_SIDE, stored
 
 BLOCK, WINDOW = 10, 20
@@ -268,7 +267,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             out = []
             for body, starts, whole in zip(*(batch.column(n + i).to_pylist() for i in range(3))):
                 words = (body or "").encode().split()

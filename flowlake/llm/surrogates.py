@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlake.llm.hashing import slices
 from flowlake.llm.tables import BUILD_SIDE, stored
 
 MALE = ("Mr", "Mister", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Signor", "господин", "Господин", "г-н")
@@ -164,7 +165,7 @@ def mentions(text: str | None) -> list[tuple[str, int, int]]:
 
 def _entities(docs: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = {(kind, canonical(kind, text[s:e])) for text in batch.column(0).to_pylist() for kind, s, e in mentions(text)}
             if rows:
                 kinds, names = zip(*sorted(rows))
@@ -225,7 +226,7 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text", keep: list
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts, found = [], []
             for body, own in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist()):
                 other = {(o["kind"], o["entity"]): o["surrogate"] for o in own or ()}

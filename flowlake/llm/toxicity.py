@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlake.llm.hashing import slices
+
 MAX_LABELLED = 20_000
 # A token gets a weight if it is in so many different labelled toxic texts, and
 # its share of toxic texts has at least this G-statistic against the share of
@@ -113,7 +115,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, usable, text: str) -> DataFram
 
 def _token_counts(sample: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             uses, texts = (Counter(), Counter()), (Counter(), Counter())
             for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 own = Counter(tokens_in(text))
@@ -142,7 +144,7 @@ def _background(docs: DataFrame, text: str, tokens: set[bytes]) -> tuple[dict[by
     """Uses of some tokens in all documents, and of all tokens together."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses, total = Counter(), 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             for body in batch.column(0).to_pylist():
                 own = tokens_in(body)
                 total += len(own)
@@ -196,7 +198,7 @@ def _logistic(rows: list[tuple[float, int]]) -> tuple[float, float]:
 def _best_segments(sample: DataFrame, weights: dict[bytes, float]) -> list[tuple[float, int, int]]:
     """Best segment score, tokens and label of each labelled text."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             found = []
             for text in batch.column(1).to_pylist():
                 own = tokens_in(text)
@@ -257,7 +259,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[
     passage = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             scores, passages = [], []
             for body in batch.column(len(keep)).to_pylist():
                 own = tokens_in(body)
