@@ -129,6 +129,52 @@ def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("ml_score_columns", twin(f"""
+    SELECT 'nsl_kdd' AS dataset_source, split, cast(null as varchar) AS source_day, protocol_type AS protocol, duration,
+        src_bytes AS bytes_sent, dst_bytes AS bytes_received, is_attack AS is_attack_actual,
+        attack_category AS attack_category_actual, {flag_names(CONNECTION_FLAGS_SQL)} AS rule_flags,
+        true AS in_range, true AS is_threshold FROM clean_conn"""))
+def ml_score_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the scored rows does not depend on the fitted trees."""
+    score = F.col("attack_probability")
+    return ml_score(spark, sf_dir).select(
+        "dataset_source", "split", "source_day", "protocol", "duration", "bytes_sent", "bytes_received", "is_attack_actual",
+        "attack_category_actual", "rule_flags", score.between(0, 1).alias("in_range"),
+        ((F.col("predicted_label") == 1) == (score >= 0.5)).alias("is_threshold"))
+
+
+@query("ml_score_ids", twin("SELECT count(*) AS scored, count(*) AS ids FROM clean_conn"))
+def ml_score_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ml_score(spark, sf_dir).agg(F.count("*").alias("scored"), F.count_distinct("flow_id").alias("ids"))
+
+
+@query("model_roundtrip", twin(f"SELECT {names(NSL_KDD.columns)}, split, true AS same FROM clean_conn"))
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row scored by the fitted and by the stored model."""
+    path = scratch_path(spark, "model")
+    sinks.save_model(_model(spark, sf_dir), path)
+    fitted = learn.score(_model(spark, sf_dir), _features(spark, sf_dir, NSL_KDD.name)).select(
+        *NSL_KDD.columns, "split", F.col("attack_probability").alias("fitted"))
+    stored = learn.score(readers.load_model(spark, path), _features(spark, sf_dir, NSL_KDD.name))
+    again = stored.select(*NSL_KDD.columns, "split", F.col("attack_probability").alias("stored"))
+    keys = [*NSL_KDD.columns, "split"]
+    return fitted.join(again, keys).select(*keys, (F.col("fitted") == F.col("stored")).alias("same"))
+
+
+@query("ml_train_counts", twin("""
+    SELECT count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows,
+        round(count(*) FILTER (split = 'train' AND is_attack = 1) / cast(count(*) FILTER (split = 'train') as double), 5) AS attack_rate_train,
+        round(count(*) FILTER (split = 'test' AND is_attack = 1) / cast(count(*) FILTER (split = 'test') as double), 5) AS attack_rate_test,
+        count(*) FILTER (split = 'test' AND attack_type NOT IN (SELECT attack_type FROM clean_conn WHERE split = 'train')) AS novel_total,
+        count(*) FILTER (split = 'test') AS confusion_rows FROM clean_conn"""))
+def ml_train_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics document's counts."""
+    m = _trained(spark, sf_dir, NSL_KDD.name)[1]
+    row = (*(m[k] for k in ("train_rows", "test_rows", "attack_rate_train", "attack_rate_test", "novel_total")), sum(m["confusion_matrix"].values()))
+    return spark.createDataFrame([row], """train_rows long, test_rows long, attack_rate_train double,
+        attack_rate_test double, novel_total long, confusion_rows long""")
+
+
 @query("ml_feature_importances")
 def ml_feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.importances(_model(spark, sf_dir))

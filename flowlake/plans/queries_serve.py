@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.functions import json_payload, positive_probability, round_probability
-from flowlake.operators import serve
+from flowlake.operators import clean, serve
 from flowlake.operators.rules import engineer_features
 from flowlake.plans import bindings as b
 from flowlake.plans.catalog import once_per_application, query
 from flowlake.plans.queries_evaluate import connection_predictions, predictions
-from flowlake.plans.twins import CONNECTION_ID, hashed, names, twin
+from flowlake.plans.twins import CONNECTION_ID, hashed, names, payload, twin
 from flowlake.session import scratch_path
 from flowlake.sources import readers, sinks
 from flowlake.specs import CICIDS2017, NSL_KDD
@@ -26,15 +26,15 @@ COMMON = names(serve.COMMON_COLUMNS)
 def served_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = engineer_features(connection_predictions(spark, sf_dir), NSL_KDD.rules)
     return serve.project_common_schema(
-        rows, "nsl_kdd", ["duration", "src_bytes", "protocol_type", "service"], key=b.CONNECTION_ID
+        rows, "nsl_kdd", NSL_KDD.features, key=b.CONNECTION_ID
     )
 
 
 def served_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = engineer_features(predictions(spark, sf_dir), CICIDS2017.rules)
-    return serve.project_common_schema(
-        rows, "cicids2017", ["destination_port", "flow_duration"], key=["event_id"]
-    )
+    # JSON has no infinity, and leaves nulls out.
+    rows = clean.impute_nonfinite(rows, CICIDS2017.rate_columns, null_as_nonfinite=True)
+    return serve.project_common_schema(rows, "cicids2017", CICIDS2017.features, key=["event_id"])
 
 
 def served(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +91,9 @@ def flow_id_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.number_copies(rows, "flow_id", chunk=100)
 
 
-@query("raw_features_json", twin("""
-    SELECT event_id, cast(to_json({'destination_port': destination_port, 'flow_duration': flow_duration,
-        'total_fwd_packets': total_fwd_packets, 'label': label}) as varchar) AS raw_features FROM flow"""))
+@query("raw_features_json", twin(f"SELECT {names(CONNECTION_ID)}, {payload(NSL_KDD.features)} AS raw_features FROM conn"))
 def raw_features_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["destination_port", "flow_duration", "total_fwd_packets", "label"]
-    return b.flows(spark, sf_dir).select("event_id", json_payload(columns).alias("raw_features"))
+    return b.connections(spark, sf_dir).select(*CONNECTION_ID, json_payload(NSL_KDD.features).alias("raw_features"))
 
 
 @query("fn_to_json", """

@@ -69,6 +69,13 @@ FLOW_CATEGORY = """case label when 'BENIGN' then 'Benign' when 'DDoS' then 'DoS'
 _rates = CICIDS2017.rate_columns
 _rank = "case source_day when 'monday' then 0 when 'wednesday' then 1 else 2 end"
 
+
+def payload(columns, special: dict[str, str] = {}) -> str:
+    """The columns as JSON text, some of them computed."""
+    fields = ", ".join(f"""'{c}': {special.get(c, f'"{c}"')}""" for c in columns)
+    return f"cast(to_json({{{fields}}}) as varchar)"
+
+
 VIEWS = {
     "conn": duck_connections(),
     "flow": duck_flows(),
@@ -96,15 +103,14 @@ VIEWS = {
             src_bytes AS bytes_sent, dst_bytes AS bytes_received, is_attack AS is_attack_actual,
             attack_category AS attack_category_actual, cast(prediction as int) AS predicted_label,
             attack_probability, {flag_names(CONNECTION_FLAGS_SQL)} AS rule_flags,
-            cast(to_json({{'duration': duration, 'src_bytes': src_bytes, 'protocol_type': protocol_type,
-                'service': service}}) as varchar) AS raw_features
+            {payload(NSL_KDD.features)} AS raw_features
         FROM conn_pred
         UNION ALL
         SELECT {hashed('cicids2017', ['event_id'])}, 'cicids2017', split, source_day,
             cast(null as varchar), cast(flow_duration as double), total_length_of_fwd_packets,
             total_length_of_bwd_packets, is_attack, attack_category, cast(prediction as int),
             attack_probability, {flag_names(FLOW_FLAGS_SQL)},
-            cast(to_json({{'destination_port': destination_port, 'flow_duration': flow_duration}}) as varchar)
+            {payload(CICIDS2017.features, {c: f"coalesce({imputed(c)}, -1)" for c in _rates})}
         FROM pred""",
     "curve_points": """
         SELECT b, sum(n) OVER (ORDER BY b DESC) AS cn, sum(p) OVER (ORDER BY b DESC) AS cp, sum(p) OVER () AS tp
