@@ -47,7 +47,7 @@ WORDS = 5
 # J >= 80 %, distance <= 20 %.
 PERCENT = 80
 RADIUS = 1 - PERCENT / 100
-PIVOTS = 32
+PIVOTS = 64
 # The order of shingles looks at so many documents, and keeps so many shingles.
 ORDER_DOCUMENTS = 5_000
 ORDER_SHINGLES = 100_000

@@ -99,7 +99,7 @@ def similar_components(rows):
     return sorted(((i, len(s), lowest[own]) for (i, _), s, own in zip(rows, sets, label)), key=str)
 
 
-@pytest.mark.parametrize("pivots", [32, 1])
+@pytest.mark.parametrize("pivots", [64, 1])
 def test_components_against_brute_force(spark, monkeypatch, pivots):
     monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
     rng = random.Random(pivots)
