@@ -14,7 +14,8 @@ shingles. In each region
 1. the pivot is the member with the smallest set hash; every member's exact
    distance to it is measured, those within RADIUS are linked;
 2. a region whose members are all in one component by now is finished;
-3. otherwise it is joined again, with up to PIVOTS new pivots; boundary members
+3. otherwise it is joined again, with up to PIVOTS new pivots, and twice as many
+   in each further turn, so turns grow with its logarithm; boundary members
    are those of another component whose distance to the first pivot is within
    RADIUS of the new pivot's; a pivot that has been compared leaves the region.
 
@@ -33,6 +34,7 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -242,14 +244,14 @@ def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame:
     far = measured.select("lo", "hi", (1 - F.col("common") / F.col("either")).alias("away"))
     rest = rows.withColumns({"lo": F.least("node", "pivot"), "hi": F.greatest("node", "pivot")}).join(far, ["lo", "hi"], "left")
     rest = rest.filter("node != pivot").select("shingle", "node", "n", "away").join(labels, "node")
-    while True:
+    for turn in count():
         rest = stored(rest, "unfinished-members")
         several = rest.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("shingle")
         rest = stored(rest.join(several, "shingle", "left_semi"), "unfinished-regions")
         if rest.isEmpty():
             return labels
-        # Up to PIVOTS new pivots, one of each hash class of members.
-        chosen = rest.groupBy("shingle", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("class")).agg(
+        # New pivots, one of each hash class of members.
+        chosen = rest.groupBy("shingle", F.pmod(F.xxhash64("node"), F.lit(PIVOTS << turn)).alias("class")).agg(
             F.min(F.struct("node", "n", "away", "component")).alias("p"))
         chosen = stored(chosen.select("shingle", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"),
                                       F.col("p.away").alias("pivot_away"), F.col("p.component").alias("pivot_component")), "next-pivots")
