@@ -34,6 +34,7 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import count
 
 import numpy as np
@@ -56,6 +57,8 @@ ORDER_SHINGLES = 100_000
 SLICE_BYTES = 3_000_000
 # Counts of a class's shingles by hash bucket.
 FOLDS = 128
+# Pairs are measured in so many turns at most, each of so many pairs at least.
+TURNS, TURN_PAIRS = 8, 10_000
 
 
 def shingles_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,7 +203,13 @@ class Measure:
         if not wanted.isEmpty():
             more = stored(_sets(self.docs, wanted.select("doc_id", "node"), self.salt), "shingle-sets")
             self.sets = more if self.sets is None else self.sets.unionAll(more)
-        return _distances(pairs, self.sets) if self.sets is not None else pairs.selectExpr("lo", "hi", "0 AS common", "1 AS either")
+        if self.sets is None:
+            return pairs.selectExpr("lo", "hi", "0 AS common", "1 AS either")
+        # In a few turns, so that only a part of the sets is on its way at a time.
+        turns = min(TURNS, 1 + pairs.count() // TURN_PAIRS)
+        turn = F.pmod(F.xxhash64("lo", "hi"), F.lit(turns))
+        parts = [stored(_distances(pairs.filter(turn == i), self.sets), "distances") for i in range(turns)]
+        return reduce(DataFrame.unionAll, parts)
 
 
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
