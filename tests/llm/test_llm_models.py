@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +60,49 @@ def test_recall_on_the_table(spark):
     assert 0.9 * true <= found <= true
 
 
+def brute_counts(points):
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    return near.sum(axis=1) - 1
+
+
+def hot_and_borderline(seed, n=6000, dims=64):
+    """A third of all in one group whose pairs mostly link, pairs near 0.9, and the rest alone."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    group = unit(rng.normal(size=(1, dims))) + rng.normal(size=(n // 3, dims)) * 0.034
+    one = unit(rng.normal(size=(n // 3, dims)))
+    side = rng.normal(size=one.shape)
+    side = unit(side - (side * one).sum(axis=1, keepdims=True) * one)
+    cosine = rng.uniform(0.89, 0.93, size=(len(one), 1))
+    return np.concatenate([group, one, cosine * one + np.sqrt(1 - cosine**2) * side]).astype(np.float32).astype(np.float64)
+
+
+@pytest.mark.parametrize("cells", [None, 400])
+def test_every_link_is_found_with_many_cells(spark, monkeypatch, cells):
+    if cells:
+        monkeypatch.setattr(embedding_dedup, "choose_cells", lambda sample, n: embedding_dedup.fit_cells(sample, cells))
+    points = hot_and_borderline(cells or 1)
+    want = brute_counts(points)
+    assert want[:2000].mean() > 1900 and want[2000:].sum() > 2000
+    df = spark.createDataFrame([(i, v.tolist(), 0, 0, 0, "") for i, v in enumerate(points)], VECTORS)
+    got = embedding_dedup.find_near_duplicates(df).select("vec_id", "n_links", "component_id").toPandas().sort_values("vec_id")
+    assert (got.n_links.to_numpy() == want).all()
+    assert set(got.component_id[:2000][want[:2000] > 0]) == {0}
+
+
+def test_labels_hold_across_tiles(monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE", 2)
+    rng = np.random.default_rng(4)
+    # A path along a circle: each links with its neighbours only.
+    angles = np.arange(14) * 0.4
+    points = np.stack([np.cos(angles), np.sin(angles)], axis=1)[rng.permutation(14)]
+    table = pa.table({"cell": [0] * 14, "first": [0] * 14, "second": [0] * 14, "rep": list(range(14)), "size": [1] * 14,
+                      "vector": points.tolist(), "block": [0] * 14})
+    found = embedding_dedup._compare(table)
+    assert set(found.column("least").to_pylist()) == {0} and found.num_rows == 14
+
+
 def test_vectors_that_cannot_be_compared(spark):
     empty = spark.createDataFrame([], VECTORS)
     assert embedding_dedup.find_near_duplicates(empty).count() == 0
