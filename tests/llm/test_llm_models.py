@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import numpy as np
@@ -78,7 +79,7 @@ def hot_and_borderline(seed, n=6000, dims=64):
     return np.concatenate([group, one, cosine * one + np.sqrt(1 - cosine**2) * side]).astype(np.float32).astype(np.float64)
 
 
-@pytest.mark.parametrize("cells", [None, 400])
+@pytest.mark.parametrize("cells", [None, 400, 2000])
 def test_every_link_is_found_with_many_cells(spark, monkeypatch, cells):
     if cells:
         monkeypatch.setattr(embedding_dedup, "choose_cells", lambda sample, n: embedding_dedup.fit_cells(sample, cells))
@@ -91,6 +92,18 @@ def test_every_link_is_found_with_many_cells(spark, monkeypatch, cells):
     assert set(got.component_id[:2000][want[:2000] > 0]) == {0}
 
 
+def test_every_link_of_a_table_that_has_some(spark):
+    path = "/root/testdata/check_s/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("the table is not here")
+    rows = spark.read.parquet(path).select("vec_id", "embedding").toPandas()
+    unit = np.stack(rows.embedding).astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    true = sum(int((part @ unit.T >= 0.9).sum()) for part in np.array_split(unit, 20)) - len(rows)
+    assert true > 0
+    assert embedding_dedup.find_near_duplicates(spark.read.parquet(path)).agg(F.sum("n_links")).first()[0] == true
+
+
 def test_labels_hold_across_tiles(monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 2)
     rng = np.random.default_rng(4)
