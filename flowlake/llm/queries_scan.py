@@ -69,7 +69,8 @@ FROM lines LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id"""
 @query("op5_line_dedup", LINES_SQL)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("before"))
-    kept = line_dedup.delete_repeated_lines(docs)
+    # The twin states runs of three lines only.
+    kept = line_dedup.delete_repeated_lines(docs, long=None)
     lines = F.when(F.col("text") == "", F.lit(0)).otherwise(F.size(F.split("text", "\n", -1)))
     return kept.select(
         "doc_id", F.col("before").cast("long").alias("n_lines"),

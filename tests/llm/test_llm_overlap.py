@@ -168,6 +168,37 @@ def test_lines_against_brute_force(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def kept_lines_of_any_length(rows, long=line_dedup.LONG):
+    """As kept_lines, but runs of one or two lines count if they have more than `long` words."""
+    order = sorted(range(len(rows)), key=lambda k: rows[k][0])
+    seen, out = {}, {}
+    for k in order:
+        lines = rows[k][1].split("\n")
+        full, gone = [i for i, line in enumerate(lines) if line.strip()], set()
+        for run in range(1, line_dedup.RUN + 1):
+            for s in range(len(full) - run + 1):
+                window = tuple(lines[i] for i in full[s:s + run])
+                if run == line_dedup.RUN or sum(len(line.split()) for line in window) > long:
+                    if seen.setdefault(window, (rows[k], s)) != (rows[k], s):
+                        gone.update(full[s:s + run])
+        out[k] = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+    return sorted((rows[k][0], out[k]) for k in out)
+
+
+def test_long_passages_of_one_or_two_lines(spark):
+    rng = random.Random(10)
+    line = lambda n: " ".join(rng.choice("abcdefgh") * 3 for _ in range(n))
+    pool = [line(n) for n in (51, 50, 60, 30, 25, 26, 21, 3, 2, 1)] + ["", " \t ", line(40) + "\t\t x  y " + line(8), line(41) + " \t x  y " + line(8)]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 10)))) for i in range(60)]
+    rows += [(100, f"{pool[0]}\nnew"), (101, f"other\n{pool[1]}\nmore"), (102, f"start\n{pool[4]}\n{pool[5]}\nend"), (103, pool[0])]
+    want = kept_lines_of_any_length(rows)
+    assert want != sorted(kept_lines(rows)) and dict(want)[100] == "new" and dict(want)[103] == "" and dict(want)[101] == rows[-3][1]
+    df = documents(spark, rows)
+    got = lambda **more: sorted((r.doc_id, r.text) for r in line_dedup.delete_repeated_lines(df, **more).collect())
+    assert got() == want
+    assert got(long=None) == sorted(kept_lines(rows))
+
+
 def kept_words(rows, window=substring_dedup.WINDOW):
     distinct = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
     seen, out = {}, {}
