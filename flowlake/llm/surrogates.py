@@ -1,12 +1,14 @@
 """Replaces personal data by keyed surrogates of the same kind and shape.
 
-Found are e-mail addresses, IPv4 addresses, card, account, social security and
-telephone numbers, and names after a form of address. A surrogate is drawn from
+Found are e-mail addresses, IPv4 and IPv6 addresses, card, account, social
+security and telephone numbers, and names after a form of address, with all bare
+mentions of such a name, or of one of its words, in the same text. A surrogate is drawn from
 an HMAC of the entity under a secret key: digits stay digits, letters stay
 letters of their case, separators stay; octets stay valid; a valid check digit
 stays valid; a name keeps its script, its capitals and the gender that the form
 of address tells.
 
+A name is replaced word by word, so that its parts and bare mentions agree with it.
 One entity, however it is written, has one surrogate everywhere (coreference),
 and different entities have different ones, none of them an entity of the corpus
 itself: the entities are gathered once, surrogates that collide are drawn anew,
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -40,16 +43,25 @@ _FORMS = {form: kind for kind, own in (("name_m", MALE), ("name_f", FEMALE)) for
 _ADDRESS = "|".join(sorted(map(re.escape, _FORMS), key=len, reverse=True))
 _NAME_WORD = r"[^\W\d_a-zà-öø-ÿа-я][^\W\d_]+(?:-[^\W\d_]+)?"
 
-ENTITIES = re.compile(rf"""
+# Matches of these are checked; where one fails, the others are tried.
+_CHECKED = r"""
+    (?<![\w:.])(?P<ip6>(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4})(?![\w:]|\.\d)
+  | (?<!\w)(?P<long>\d{13,19}|\d{4}(?:[\ -]?\d{4}){2,3}[\ -]?\d{1,4}|\d{4}[\ -]\d{6}[\ -]\d{4,5})(?!\w)
+"""
+_UNCHECKED = rf"""
     (?P<email>[\w.+-]*\w@\w(?:[\w-]*\w)?(?:\.\w(?:[\w-]*\w)?)+)
   | (?<![\w.])(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){{3}})(?![\w]|\.\d)
   | (?<!\w)(?P<account>[A-Z]{{2}}\d{{2}}(?:\ ?[A-Z0-9]{{4}}){{3,7}}(?:\ ?[A-Z0-9]{{1,3}})?)(?!\w)
   | (?<![\w])(?P<card>\d{{4}}(?:[\ -]?\d{{4}}){{3}})(?!\w)
   | (?<![\w-])(?P<social>\d{{3}}-\d{{2}}-\d{{4}})(?![\w-])
   | (?<![\w])(?P<phone>(?:\+\d{{1,3}}[\ .-]?)?(?:\(\d{{2,4}}\)[\ .-]?|\d{{2,4}}[\ .-])\d{{3,4}}[\ .-]?\d{{3,4}})(?!\w)
+  | (?<!\w)(?P<world>\+\d{{7,15}}|\+\d{{1,4}}(?:[\ .-]\d{{1,6}}|[\ .-]?\(\d{{1,4}}\)[\ .-]?\d{{1,6}}){{2,7}}|0\d(?:[\ .-]\d{{2}}){{4}})(?!\w)
   | (?<!\w)(?P<address>{_ADDRESS})(?P<dot>\.?\s+)(?P<name>{_NAME_WORD}(?:\ {_NAME_WORD}){{0,2}})
-""", re.X)
-_ANY = re.compile(rf"[@0-9]|(?<!\w)(?:{_ADDRESS})(?!\w)")
+"""
+_PLAIN = re.compile(_UNCHECKED, re.X)
+ENTITIES = re.compile(_CHECKED + "|" + _UNCHECKED, re.X)
+_LONG = re.compile(r"(?:\d{13,19}|\d{4}(?:[ -]?\d{4}){3})(?!\w)")
+_ANY = re.compile(rf"[@\d]|(?<!\w)(?:{_ADDRESS})(?!\w)")
 
 _SYLLABLES = {
     "latin": (("bel", "cor", "dan", "fer", "gal", "hal", "jor", "kel", "lam", "mar", "nor", "pel", "ros", "sam", "tor", "val"), ("an", "er", "on", "is"), ("a", "ia", "ella", "ina")),
@@ -87,9 +99,16 @@ def canonical(kind: str, text: str) -> str:
         return re.sub(r"\D", "", text)
     if kind == "account":
         return text.replace(" ", "")
+    if kind == "ip6":
+        return ipaddress.IPv6Address(text).exploded
     return re.sub(r"\s+", " ", text).casefold() if kind in ("email", "name_m", "name_f") else text
 
 
+def parts(kind: str, entity: str) -> list[str]:
+    """What of a canonical entity has a surrogate of its own: the words of a name."""
+    return entity.split(" ") if kind.startswith("name") else [entity]
+
+
 def _luhn(digits: str) -> int:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -107,7 +126,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         for word in entity.split(" "):
             stems, male, female = _SYLLABLES[_script(word)]
             endings = female if kind == "name_f" else male
-            body = "".join(stems[draw.below(len(stems))] for _ in range(max(2, len(word) // 4) + extra))
+            body = "".join(stems[draw.below(len(stems))] for _ in range(max(4, len(word) // 4) + extra))
             words.append(body + endings[draw.below(len(endings))])
         return " ".join(words)
     if kind == "ip":
@@ -116,6 +135,10 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
             low, high = (0, 9) if len(octet) == 1 else (10, 99) if len(octet) == 2 else (100, 255)
             octets.append(str((0 if extra else low) + draw.below((255 if extra else high) - (0 if extra else low) + 1)))
         return ".".join(octets)
+    if kind == "ip6":
+        # Groups of zeros stay, so the address can be written as short.
+        groups = [group.lstrip("0") for group in entity.split(":")]
+        return ":".join(f"{1 + draw.below(16 ** (4 if extra else len(g)) - 1):04x}" if g else "0000" for g in groups)
     out = []
     tail = entity.rpartition(".")[2] if kind == "email" else ""
     for i, c in enumerate(entity[:len(entity) - len(tail)] if tail else entity):
@@ -144,29 +167,103 @@ def _shaped(kind: str, written: str, new: str) -> str:
         return new.upper() if written.isupper() else new
     if kind == "ip":
         return new
+    if kind == "ip6":
+        short = str(ipaddress.IPv6Address(new)) if "::" in written else ":".join(
+            n if len(w) == 4 else n.lstrip("0") or "0" for w, n in zip(written.split(":"), new.split(":")))
+        return short.upper() if any(c.isupper() for c in written) else short
     fill = iter(new)
     kept = "".join(next(fill, "") if c.isalnum() else c for c in written)
     return kept + "".join(fill)
 
 
+def _is_long_card(text: str) -> bool:
+    digits = re.sub(r"\D", "", text)
+    return 13 <= len(digits) <= 19 and _luhn(digits) == 0
+
+
+def _is_ip6(text: str) -> bool:
+    """Not a time, a slice, a scope operator, or an address of one group."""
+    groups = [g for g in text.split(":") if g]
+    if len(groups) < 2 or len(groups) < 8 and max(map(len, groups)) < 3 or not any(map(str.isdigit, text)):
+        return False
+    try:
+        return bool(ipaddress.IPv6Address(text))
+    except ValueError:
+        return False
+
+
+def _end_of_phone(text: str, start: int, end: int) -> int | None:
+    """Where an international number of 7 to 15 digits ends; a card that follows
+    is no part of it."""
+    last = None
+    for m in re.finditer(r"\d+", text[start:end]):
+        if m.start() > 1 and last and _LONG.match(text, start + m.start()):
+            break
+        digits = sum(map(str.isdecimal, text[start:start + m.end()]))
+        if digits > 15:
+            break
+        last = start + m.end() if digits >= 7 else last
+    return last
+
+
+def _bare_mentions(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Mentions, without a form of address, of names that were found in the text.
+    Words that also stand there in lower case are no names on their own."""
+    named = [m for m in found if m[0].startswith("name")]
+    if not named:
+        return []
+    rest, at = [], 0
+    for _, s, e in found:
+        rest += [text[at:s], "\0" * (e - s)]
+        at = e
+    rest = "".join(rest) + text[at:]
+    kinds: dict[str, str] = {}
+    for kind, s, e in named:
+        kinds.setdefault(canonical(kind, text[s:e]), kind)
+    for whole, kind in list(kinds.items()):
+        words = whole.split(" ")
+        for pair in zip(words, words[1:]):
+            kinds.setdefault(" ".join(pair), kind)
+        for word in words:
+            if word in kinds or re.search(rf"(?<!\w){re.escape(word)}(?!\w)", rest) is None:
+                kinds.setdefault(word, kind)
+    any_name = "|".join(re.escape(n).replace(r"\ ", r"\s+") for n in sorted(kinds, key=len, reverse=True))
+    hits = re.finditer(rf"(?<!\w)(?:{any_name})(?!\w)", rest, re.I)
+    return [(kinds[name], m.start(), m.end()) for m in hits
+            if all(w[0].isupper() for w in m[0].split()) and (name := canonical("name_m", m[0])) in kinds]
+
+
 def mentions(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every entity, left to right."""
     if not text or not _ANY.search(text):
         return []
-    found = []
-    for m in ENTITIES.finditer(text):
+    found, at = [], 0
+    while m := ENTITIES.search(text, at):
         kind = m.lastgroup
+        if kind == "long" and not _is_long_card(m[kind]) or kind == "ip6" and not _is_ip6(m[kind]):
+            start = m.start()
+            m = _PLAIN.match(text, start)
+            kind = m and m.lastgroup
+        start, end = m.span() if m else (start, None)
         if kind == "name":
-            found.append((_FORMS[m["address"]], *m.span("name")))
+            start, end = m.span("name")
+            kind = _FORMS[m["address"]]
+        elif kind == "world":
+            kind, end = "phone", _end_of_phone(text, start, end)
+        elif kind == "long":
+            kind = "card"
+        if end is None:
+            at = start + 1
         else:
-            found.append((kind, m.start(), m.end()))
-    return found
+            found.append((kind, start, end))
+            at = end
+    return sorted(found + _bare_mentions(text, found), key=lambda m: m[1])
 
 
 def _entities(docs: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            rows = {(kind, canonical(kind, text[s:e])) for text in batch.column(0).to_pylist() for kind, s, e in mentions(text)}
+            rows = {(kind, part) for text in batch.column(0).to_pylist() for kind, s, e in mentions(text) for part in parts(kind, canonical(kind, text[s:e]))}
             if rows:
                 kinds, names = zip(*sorted(rows))
                 yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(names)], ["kind", "entity"])
@@ -215,7 +312,8 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text", keep: list
     else:
         def which(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = [(i, h, kind, canonical(kind, body[s:e])) for body, i, h in zip(*(c.to_pylist() for c in batch.columns)) for kind, s, e in mentions(body)]
+                found = [(i, h, kind, part) for body, i, h in zip(*(c.to_pylist() for c in batch.columns))
+                         for kind, s, e in mentions(body) for part in parts(kind, canonical(kind, body[s:e]))]
                 if found:
                     i, h, kind, entity = zip(*found)
                     yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(h, pa.int64()), pa.array(kind), pa.array(entity)], ["i", "h", "kind", "entity"])
@@ -232,8 +330,9 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text", keep: list
                 other = {(o["kind"], o["entity"]): o["surrogate"] for o in own or ()}
                 out, at, length, places = [], 0, 0, []
                 for kind, start, end in mentions(body):
-                    entity = canonical(kind, body[start:end])
-                    new = _shaped(kind, body[start:end], other.get((kind, entity)) or surrogate(key, kind, entity, 0))
+                    own_parts = parts(kind, canonical(kind, body[start:end]))
+                    drawn = [other.get((kind, part)) or surrogate(key, kind, part, 0) for part in own_parts]
+                    new = _shaped(kind, body[start:end], " ".join(drawn))
                     out += [body[at:start], new]
                     length += start - at
                     places.append({"kind": kind, "start": length, "end": length + len(new)})

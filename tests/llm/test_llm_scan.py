@@ -1,3 +1,4 @@
+import ipaddress
 import random
 import re
 
@@ -97,6 +98,40 @@ def test_collisions_are_redrawn(spark, monkeypatch):
     assert len(out) == len(rows)
 
 
+def spans(text):
+    return [(k, text[s:e]) for k, s, e in surrogates.mentions(text)]
+
+
+def test_common_forms_of_numbers_are_found():
+    for phone in ("+14155550123", "+442079460958", "+33 1 23 45 67 89", "01 23 45 67 89", "+41 44 668 18 00", "+91 98765 43210", "+44 (20) 7946 0958"):
+        assert spans(f"Call {phone}, or not.") == [("phone", phone)]
+    for card in ("378282246310005", "3782 822463 10005", "4222222222222", "4539148803436467", "6304 0000 0000 0000 000", "30569309025904"):
+        assert spans(f"paid by {card}.") == [("card", card)]
+    assert spans("+14155550123 4539 1488 0343 6467") == [("phone", "+14155550123"), ("card", "4539 1488 0343 6467")]
+    assert spans("+33 1 23 45 67 89 4539 1488 0343 6467") == [("phone", "+33 1 23 45 67 89"), ("card", "4539 1488 0343 6467")]
+    for address in ("2001:db8:85a3::8a2e:370:7334", "2001:0DB8:0000:0000:0000:FF00:0042:8329", "fe80::1"):
+        assert spans(f"from {address} on") == [("ip6", address)]
+    assert spans("at 12:30:45, std::map, a::b, x[1::2], ::1 and 1234567890123") == []
+    assert spans("at ::ffff:10.20.30.40") == [("ip", "10.20.30.40")]
+    assert spans("Тел. ٠١٢-٣٤٥-٦٧٨٩") == [("phone", "٠١٢-٣٤٥-٦٧٨٩")]
+    assert surrogates.mentions("+" + "1 " * 50_000) is not None and surrogates.mentions("1234 " * 20_000) is not None
+
+
+def test_bare_mentions_of_names_agree(spark):
+    text = "Smith wrote. Mr John Smith The Elder met Mrs Anna Bell. John Smith and SMITH said that the bell rang; Anna agreed, Bell Smithson too, john."
+    rows = [(1, text), (2, "Mr Smith again"), (3, "Smith alone"), (4, "fe80::1 and FE80:0:0:0:0:0:0:1 and +14155550123")]
+    got = {r.doc_id: r for r in surrogates.replace_entities(documents(spark, rows), KEY).collect()}
+    new = got[1].new_text
+    assert not re.search(r"\b(John|Smith|SMITH|Anna)\b", new) and "Bell Smithson too, john." in new and " the bell rang" in new
+    full = re.search(r"Mr (\w+) (\w+)", new)
+    smith, john = full[2], full[1]
+    assert new.startswith(f"{smith} wrote.") and f" {john} {smith} and {smith.upper()} said" in new
+    assert got[2].new_text == f"Mr {smith} again" and got[3].new_text == "Smith alone"
+    first, second = got[4].new_text.split(" and ")[:2]
+    assert ipaddress.ip_address(first) == ipaddress.ip_address(second) != ipaddress.ip_address("fe80::1")
+    assert [x.kind for x in got[4].entities] == ["ip6", "ip6", "phone"]
+
+
 def test_surrogates_of_nothing(spark):
     assert surrogates.replace_entities(documents(spark, []), KEY).count() == 0
     got = {r.doc_id: (r.new_text, r.entities) for r in surrogates.replace_entities(documents(spark, [(1, None), (2, ""), (3, "plain")]), KEY).collect()}
