@@ -25,10 +25,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id."""
-    groups = jaccard_join.find_components(docs)
-    gone = stored(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group stays: the one with the smallest id, a null id
+    being the largest. Rows are documents of their own, whether or not they share
+    an id: of repeated rows one stays, of two texts with one id each is judged for
+    itself. Texts without words are in no group and all stay."""
+    # Numbers stay the same only once they are written.
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    groups = jaccard_join.find_components(rows.select(F.col("__row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("__row"), "component_id")
+    groups = stored(groups.join(rows.select("__row", "doc_id"), "__row"), "near-copy-groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).getField("__row").alias("__row")
+    kept = groups.groupBy("component_id").agg(first).select("__row")
+    gone = stored(groups.select("__row").join(kept, "__row", "left_anti"), "near-copies")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,3 +75,15 @@ def test_pipeline_stages(spark, sf_dir):
     assert ids(before) == ids(after) and after.filter("n_tokens <> size(ids)").isEmpty()
     whole = corpus_pipeline.run(spark, sf_dir).select("doc_id", "ids").collect()
     assert sorted(whole) == sorted(after.select("doc_id", "ids").collect())
+
+
+def test_near_copies_are_dropped_by_row(spark):
+    one, other, third = (" ".join(f"{w}{i}" for i in range(40)) for w in "xyz")
+    rows = [(5, one), (3, one), (3, other), (None, one), (7, third), (7, third), (None, "a b c d e f g"), (None, "a b c d e f g"),
+            (8, ""), (8, ""), (None, None), (9, None), (4, other + " more")]
+    docs = spark.createDataFrame([(i, t, "en", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, k int").repartition(3)
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(3, one), (3, other), (7, third), (None, "a b c d e f g"), (8, ""), (8, ""), (None, None), (9, None)], key=str)
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), "").count() == 0
