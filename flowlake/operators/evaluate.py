@@ -10,7 +10,6 @@ Column names: `is_attack`, `prediction`, `attack_category`,
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from flowlake.functions import safe_ratio, snap
+from flowlake.operators.running import running_totals
 
 LABEL = "is_attack"
 PREDICTED = "prediction"
@@ -145,49 +145,21 @@ def is_scored(score: Column) -> Column:
     return score.isNotNull() & ~F.isnan(score)
 
 
-def _above(cuts: Column, order: Column, slices: int) -> Column:
-    """How many of the ascending cuts lie above the value: first among every
-    stride-th of them, then within one stride."""
-    stride = math.isqrt(slices) + 1
-    coarse = F.filter(cuts, lambda cut, i: (i % stride == 0) & (cut <= order))
-    start = F.greatest(F.size(coarse) - 1, F.lit(0)) * stride
-    below = start + F.size(F.filter(F.slice(cuts, start + 1, F.lit(stride)), lambda cut: cut <= order))
-    return F.size(cuts) - below
-
-
-def descending_totals(points: DataFrame, order: str, sums: Sequence[str], slices: int = 1) -> DataFrame:
+def descending_totals(
+    points: DataFrame, order: str, sums: Sequence[str], slices: int | None = None
+) -> DataFrame:
     """`cum_<c>`: sum of c over this and all points with a higher `order`.
     `order` must be unique and a double; points without one are left out.
 
     With one slice this is a plain running window, right for a bounded number
-    of points. Otherwise the points are cut at approximate quantiles, the
-    (few) slice totals get the global running window, and every slice runs its
-    own window in parallel on top of the total of the slices above it.
+    of points. Otherwise the points are range-partitioned (into `slices`
+    partitions if given) and every partition adds up its own stretch.
     """
     points = points.filter(is_scored(F.col(order)))
-    if slices <= 1:
+    if slices == 1:
         running = Window.orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
         return points.withColumns({f"cum_{c}": F.sum(c).over(running) for c in sums})
-    fractions = [i / slices for i in range(1, slices)]
-    cuts = points.select(
-        F.percentile_approx(order, fractions, max(10_000, 20 * slices)).alias("cuts")
-    ).scalar()
-    above = F.coalesce(_above(F.col("_cuts"), F.col(order), slices), F.lit(0))
-    sliced = points.withColumn("_cuts", cuts).withColumn("_slice", above).drop("_cuts")
-    higher = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy("_slice")
-        .agg(*[F.sum(c).alias(c) for c in sums])
-        .select("_slice", *[F.coalesce(F.sum(c).over(higher), F.lit(0)).alias(f"_base_{c}") for c in sums])
-    )
-    inside = (
-        Window.partitionBy("_slice").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    # The offsets have at most `slices` rows, so broadcasting them is safe.
-    joined = sliced.join(F.broadcast(offsets), "_slice")
-    return joined.withColumns(
-        {f"cum_{c}": F.sum(c).over(inside) + F.col(f"_base_{c}") for c in sums}
-    ).drop("_slice", *[f"_base_{c}" for c in sums])
+    return running_totals(points, [F.desc(order)], {f"cum_{c}": F.col(c) for c in sums}, slices)
 
 
 def threshold_curve(df: DataFrame, resolution: float = 0.01) -> DataFrame:
@@ -229,11 +201,10 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     return curve.orderBy(F.desc("f1"), F.desc("threshold")).limit(1)
 
 
-def _ranked(df: DataFrame, score: str, label: str, slices: int) -> DataFrame:
+def _ranked(df: DataFrame, score: str, label: str, slices: int | None) -> DataFrame:
     """Per distinct score: positives, negatives and their totals from the top.
-    Folding by score first means a hot score costs one row per task. The filter
-    drops scores without labelled rows; as it reads both sums, every use of the
-    points below needs the same columns and Spark reuses one exchange."""
+    Folding by score first means a hot score costs one row per task, and leaves
+    scores that tell all points apart."""
     rows = _rows(df)
     value = F.col(score).cast("double")
     points = df.filter(is_scored(value)).groupBy(value.alias("score")).agg(
@@ -243,7 +214,7 @@ def _ranked(df: DataFrame, score: str, label: str, slices: int) -> DataFrame:
     return descending_totals(points, "score", ["pos", "neg"], slices)
 
 
-def auc(df: DataFrame, score: str = SCORE, label: str = LABEL, slices: int = 64) -> DataFrame:
+def auc(df: DataFrame, score: str = SCORE, label: str = LABEL, slices: int | None = None) -> DataFrame:
     """Exact areas under the ROC curve and under precision over recall, null
     where a class is missing. Trapezoids over the distinct scores from the top,
     the second curve starting at (0, first precision). Rows without a score are
@@ -270,9 +241,9 @@ def unscored_rows(df: DataFrame, score: str = SCORE) -> DataFrame:
     return df.agg(_total(~is_scored(F.col(score).cast("double")), _rows(df)).alias("unscored_rows"))
 
 
-def auc_roc(df: DataFrame, score: str = SCORE, label: str = LABEL, slices: int = 64) -> DataFrame:
+def auc_roc(df: DataFrame, score: str = SCORE, label: str = LABEL, slices: int | None = None) -> DataFrame:
     return auc(df, score, label, slices).select("auc_roc")
 
 
-def auc_pr(df: DataFrame, score: str = SCORE, label: str = LABEL, slices: int = 64) -> DataFrame:
+def auc_pr(df: DataFrame, score: str = SCORE, label: str = LABEL, slices: int | None = None) -> DataFrame:
     return auc(df, score, label, slices).select("auc_pr")
