@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowlake.llm import queries_models, queries_overlap, queries_scan, queries_text  # noqa: F401
+from flowlake.llm import queries_models, queries_overlap, queries_scan, queries_select, queries_text  # noqa: F401
 from flowlake.llm.tables import ORACLES, QUERIES, QueryFn
 
 
