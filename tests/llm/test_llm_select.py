@@ -10,6 +10,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
+from flowlake.llm import hard_negatives
 from flowlake.llm import importance_resampling as resampling
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -81,3 +84,69 @@ def test_crc_by_columns():
     _, number, bucket = resampling.features_of(pa.array(["Ab ab", None, "", "ab"]), 2, 10_000)
     ab, both = zlib.crc32(b"ab") % 10_000, zlib.crc32(b"ab ab") % 10_000
     assert list(zip(number, bucket)) == [(0, ab), (0, ab), (3, ab), (0, both)]
+
+
+def negatives_by_hand(rows, k=5, negatives=5, percent=80):
+    """rows: id, label, integer vector. The definition, one anchor at a time."""
+    out = []
+    for anchor, label, vector in rows:
+        if anchor % 10:
+            continue
+        scored = sorted(((sum(a * b for a, b in zip(vector, v)), i, own) for i, own, v in rows if i != anchor), key=lambda s: (-s[0], s[1]))
+        for score, positive, _ in [s for s in scored if s[2] == label][:k]:
+            fitting = [s for s in scored if s[2] != label and percent * score <= 100 * s[0] <= 100 * score]
+            out += [(anchor, positive, r, n, score, s) for r, (s, n, _) in enumerate(fitting[:negatives], 1)]
+    return sorted(out)
+
+
+NEGATIVE_COLUMNS = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def mined(spark, rows, length="double", **options):
+    df = spark.createDataFrame(rows, f"vec_id long, label int, embedding array<{length}>, rank int, i string").repartition(3)
+    got = hard_negatives.mine(df, F.col("vec_id") % 10 == 0, F.col("label"), **options)
+    return sorted(tuple(r[c] for c in NEGATIVE_COLUMNS) for r in got.collect())
+
+
+@pytest.mark.parametrize("length,reach", [(64, 1.0), (7, 1.0), (1, 3.0), (20, 40_000.0), (18, 2.0e5)])
+def test_hard_negatives(spark, monkeypatch, length, reach):
+    """Blocks and tiles so small that rows meet in many; floats wider than two bytes too."""
+    for name, value in (("PACK", 16), ("ANCHOR_TILE", 4), ("ANCHOR_NUMBERS", 9 * length), ("SPREAD", 6)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    rng = np.random.default_rng(length)
+    centres = rng.normal(size=(4, length))
+    rows = []
+    for i in range(240):
+        # A third of the rows are one vector.
+        v = centres[0] if i % 3 == 0 else centres[i % 4] + rng.normal(size=length) * 0.3
+        rows.append((i, int(rng.integers(3)) if i != 10 else 77, [float(x) for x in v * reach], 5, "x"))
+    expected = negatives_by_hand([(i, own, [math.floor(256 * x) for x in v]) for i, own, v, *_ in rows])
+    assert mined(spark, rows) == expected and expected
+
+
+def test_hard_negatives_with_gaps(spark):
+    nan, inf = float("nan"), float("inf")
+    plain = [(0, 1, [1.0, 0.0]), (1, 1, [1.0, 0.5]), (2, 2, [0.9, 0.1]), (3, 2, [0.9, 0.1]), (20, 3, [0.0, 0.0]), (21, 3, [0.0, 0.0]), (22, 4, [-1.0, 0.0])]
+    gaps = [(4, None, [1.0, 0.0]), (5, 2, None), (6, 2, [None, 1.0]), (7, 2, [nan, 0.0]), (8, 2, [1.0, inf]), (9, 2, []), (11, 2, [1.0]), (None, 2, [0.9, 0.1])]
+    twice = [(2, 9, [0.9, 0.1]), (0, 1, [1.0, 0.0]), (0, 1, [1.0, 0.0])]
+    expected = negatives_by_hand([(i, own, [math.floor(256 * x) for x in v]) for i, own, v in plain])
+    assert mined(spark, [(*r, 1, "i") for r in plain + gaps + twice]) == expected
+    assert [e[:4] for e in expected][:2] == [(0, 1, 1, 2), (0, 1, 2, 3)]
+    assert mined(spark, []) == [] and mined(spark, [(1, 1, [1.0], 0, "")]) == []
+    assert mined(spark, [(10, None, [1.0], 0, ""), (10, 1, None, 0, "")]) == []
+    with pytest.raises(ValueError, match="63 bits"):
+        mined(spark, [(10, 1, [1e18], 0, "")])
+
+
+def test_bounds_hold_and_rule_out(spark):
+    rng = np.random.default_rng(2)
+    vectors = rng.integers(-1000, 1000, (300, 50)) + np.repeat(rng.integers(-3000, 3000, (300, 5)), 10, axis=1)
+    block = hard_negatives.Block.of(np.arange(300), np.zeros(300, int), vectors.astype(float), *hard_negatives.summaries(vectors))
+    scores = vectors @ vectors.T
+    for mean, deviation in block.levels:
+        middle, spread = mean @ mean.T, deviation @ deviation.T
+        assert (np.abs(scores - middle) <= spread + 1e-6).all()
+    low = np.sort(scores, axis=1)[:, -5].astype(float)
+    few = block.part(np.arange(2))
+    columns, found, wanted = hard_negatives.left_over(few, block, low[:2], np.full(2, math.inf))
+    assert len(columns) < 150 and (found == scores[:2, columns]).all() and wanted.sum(axis=1).tolist() == [5, 5]
