@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import hard_negatives, importance_resampling
+from flowlake.llm import hard_negatives, importance_resampling, language_id
+from flowlake.llm.queries_models import held_out
 from flowlake.llm.tables import query, table
 
 SEED, PERCENT, LEAST_WORDS = 2024, 10, 20
@@ -64,3 +65,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec_id, label = F.col("vec_id"), F.col("label")
     noisy = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, noisy)
+
+
+@query("op13_language_id")
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = language_id.fit(docs, lambda doc_id: ~held_out(doc_id))
+    named = language_id.identify(docs, profiles)
+    return named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from flowlake.llm import hard_negatives
+from flowlake.llm import hard_negatives, language_id
 from flowlake.llm import importance_resampling as resampling
+from flowlake.llm.queries_select import op13_language_id
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOLD = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
@@ -150,3 +152,77 @@ def test_bounds_hold_and_rule_out(spark):
     few = block.part(np.arange(2))
     columns, found, wanted = hard_negatives.left_over(few, block, low[:2], np.full(2, math.inf))
     assert len(columns) < 150 and (found == scores[:2, columns]).all() and wanted.sum(axis=1).tolist() == [5, 5]
+
+
+def profile_by_hand(texts):
+    uses = Counter()
+    for text in texts:
+        for word in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split():
+            marked = f" {word} "
+            uses.update(word)
+            uses.update(marked[i:i + n] for n in (2, 3) for i in range(len(marked) - n + 1))
+    return [g for g, _ in sorted(uses.items(), key=lambda u: (-u[1], len(u[0]), u[0]))[:300]]
+
+
+def language_by_hand(text, known):
+    """known: language -> profile. The nearest by out-of-place distance."""
+    own = profile_by_hand([text])
+    if not own or not known:
+        return "und", 0.0
+    away = {}
+    for name, profile in known.items():
+        place = {g: i for i, g in enumerate(profile)}
+        away[name] = sum(abs(i - place[g]) if g in place else 300 for i, g in enumerate(own))
+    best = min(sorted(away), key=away.get)
+    return best, 1 - away[best] / (300 * len(own))
+
+
+def usable(doc_id):
+    return F.crc32(doc_id.cast("string")) % 5 != 0
+
+
+def test_language_equals_the_definition(spark, sf_dir, monkeypatch):
+    for name, value in (("PIECE", 700), ("HELD", 5000)):
+        monkeypatch.setattr(language_id, name, value)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    by_language = {}
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 5:
+            by_language.setdefault(r.lang, []).append(r.text)
+    known = {name: profile_by_hand(texts) for name, texts in by_language.items()}
+    got = {r.doc_id: r for r in op13_language_id(spark, sf_dir).collect()}
+    assert len(got) == len(rows) and len(known) > 2
+    for r in rows:
+        name, score = language_by_hand(r.text, known)
+        assert got[r.doc_id].lang_pred == name and got[r.doc_id].score == pytest.approx(score, abs=1e-12)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+    held = [r for r in rows if got[r.doc_id].held_out]
+    assert sum(got[r.doc_id].lang_pred == r.lang for r in held) >= 0.95 * len(held)
+
+
+def test_language_of_odd_texts(spark):
+    texts = ["der die und das ist", "der Mann", "the and of the", "", None, "12 -- 3!", "日本語 日本", "é" * 5000, "the " * 4000, "the and of the"]
+    rows = [(i, t, "de" if i < 2 else "ja" if i == 6 else None if i == 7 else "en", 0.5) for i, t in enumerate(texts)] + [(None, "und die", "de", 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double").repartition(3)
+    known = {}
+    for i, text, lang, _ in rows:
+        if lang and text is not None and i is not None and zlib.crc32(str(i).encode()) % 5:
+            known.setdefault(lang, []).append(text)
+    known = {name: p for name, texts in known.items() if (p := profile_by_hand(texts))}
+    named = language_id.identify(docs, language_id.fit(docs, usable), keep=docs.columns)
+    assert named.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    for r in named.collect():
+        name, score = language_by_hand(r.text, known)
+        assert (r.lang_pred, round(r.score, 9)) == (name, round(score, 9))
+    assert {r.text for r in named.filter("lang_pred = 'und'").collect()} == {"", None, "12 -- 3!"}
+    nothing = language_id.fit(docs.filter("lang IS NULL"), usable)
+    assert {tuple(r) for r in language_id.identify(docs, nothing, keep=[]).collect()} == {("und", 0.0)}
+    assert language_id.identify(docs.limit(0), language_id.fit(docs.limit(0), usable)).count() == 0
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "LANGUAGES", 2)
+    docs = spark.createDataFrame([(i, "abc", f"l{i}") for i in range(1, 4)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        language_id.fit(docs)
