@@ -8,13 +8,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.operators import clean, learn
+from flowlake.operators import clean, learn, trees
 from flowlake.operators.rules import engineer_features
 from flowlake.plans import bindings as b
 from flowlake.plans import workflow
 from flowlake.plans.catalog import once_per_application, query
 from flowlake.plans.queries_evaluate import predictions
-from flowlake.plans.twins import CONNECTION_FLAGS_SQL, flag_list, flag_names, names, twin
+from flowlake.plans.twins import CONNECTION_FLAGS_SQL, FLOW_KEY, flag_list, flag_names, names, twin
 from flowlake.session import scratch_path
 from flowlake.sources import readers, sinks
 from flowlake.specs import CICIDS2017, NSL_KDD
@@ -70,7 +70,7 @@ def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """Flagged and indexed rows, and the names of all 46 model inputs."""
     rows = engineer_features(b.connections(spark, sf_dir), NSL_KDD.rules)
     indexed = learn.index_categories(rows, NSL_KDD.categorical).transform(rows)
-    return indexed, learn.feature_columns(rows, NSL_KDD.numeric, NSL_KDD.categorical)
+    return indexed, learn.feature_columns(NSL_KDD.numeric, NSL_KDD.categorical, NSL_KDD.rules.flag_columns)
 
 
 def _index_sql(column: str) -> str:
@@ -88,7 +88,7 @@ _INPUTS_SQL = (
 
 @query("feature_columns", twin(_INPUTS_SQL))
 def feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All model inputs, found by schema introspection."""
+    """All model inputs."""
     rows, inputs = _inputs(spark, sf_dir)
     return rows.select(*b.CONNECTION_ID, *inputs)
 
@@ -175,6 +175,74 @@ def ml_train_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         attack_rate_test double, novel_total long, confusion_rows long""")
 
 
+@once_per_application
+def _stored(spark: SparkSession, sf_dir: str, dataset: str) -> str:
+    """Where a fitted model has been stored."""
+    path = scratch_path(spark, f"model-{dataset}")
+    sinks.save_model(_model(spark, sf_dir, dataset), path)
+    return path
+
+
+def _trees(spark: SparkSession, sf_dir: str, dataset: str = NSL_KDD.name) -> trees.StoredTrees:
+    return trees.read_trees(spark, _stored(spark, sf_dir, dataset))
+
+
+def _both_scores(spark: SparkSession, sf_dir: str, dataset: str, rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The kept columns and whether the stored model and the expression compiled
+    from its node table agree: same label, and the same score but for the order
+    in which the trees are added up."""
+    model = readers.load_model(spark, _stored(spark, sf_dir, dataset))
+    by_model = learn.predict(model, rows).select(
+        *rows.columns, F.col("attack_probability").alias("model_score"), F.col("prediction").alias("model_label"))
+    both = trees.compile_trees(_trees(spark, sf_dir, dataset)).score(by_model)
+    near = F.abs(F.col("attack_probability") - F.col("model_score")) <= 1e-12
+    return both.select(*keep, (near & (F.col("prediction") == F.col("model_label"))).alias("same"))
+
+
+@query("ml_score_compiled", twin(f"SELECT {names(NSL_KDD.columns)}, split, true AS same FROM clean_conn"))
+def ml_score_compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _features(spark, sf_dir, NSL_KDD.name)
+    return _both_scores(spark, sf_dir, NSL_KDD.name, rows, [*NSL_KDD.columns, "split"])
+
+
+@query("model_load_compiled", twin(f"""
+    SELECT * REPLACE ({", ".join(f'coalesce("{c}", -1) AS "{c}"' for c in CICIDS2017.rate_columns)}), true AS same
+    FROM (SELECT DISTINCT {names(c for c in FLOW_KEY if c not in CICIDS2017.rate_columns)},
+        {", ".join(f'coalesce("{c}", -1) AS "{c}"' for c in CICIDS2017.rate_columns)} FROM valid_flow)"""))
+def model_load_compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _features(spark, sf_dir, CICIDS2017.name)
+    return _both_scores(spark, sf_dir, CICIDS2017.name, rows, list(FLOW_KEY))
+
+
+@query("score_partial_compiled", f"SELECT {names(b.CONNECTION_ID)}, true AS same FROM lineitem")
+def score_partial_compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = learn.complete_partial(_partial(spark, sf_dir), NSL_KDD, keep=b.CONNECTION_ID)
+    return _both_scores(spark, sf_dir, NSL_KDD.name, rows, list(b.CONNECTION_ID))
+
+
+_INPUT_NAMES = ", ".join(f"'{c}'" for c in learn.feature_columns(NSL_KDD.numeric, NSL_KDD.categorical, NSL_KDD.rules.flag_columns))
+
+
+@query("ml_importances_by_nodes", f"SELECT unnest([{_INPUT_NAMES}]) AS feature, true AS same")
+def ml_importances_by_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances added up from the stored nodes against the library's."""
+    own = trees.importances(_trees(spark, sf_dir))
+    theirs = learn.importances(_model(spark, sf_dir)).withColumnRenamed("importance", "library")
+    near = F.abs(F.col("importance") - F.col("library")) <= 1e-5
+    return own.join(theirs, "feature").select("feature", near.alias("same"))
+
+
+@query("ml_tree_shapes", """
+    SELECT i::INTEGER AS tree, case when i = 0 then 1.0::DOUBLE else 0.1::DOUBLE end AS weight, true AS within, true AS same
+    FROM range(50) t(i)""")
+def ml_tree_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tree's depth, and its nodes against those of the fitted one."""
+    shapes = trees.shapes(_trees(spark, sf_dir))
+    fitted = ml_gbt_train(spark, sf_dir).toDF("tree", "w", "n", "d")
+    whole = (F.col("nodes") == F.col("n")) & (F.col("depth") == F.col("d")) & (F.col("nodes") == 2 * F.col("leaves") - 1)
+    return shapes.join(fitted, "tree").select("tree", "weight", F.col("depth").between(1, 5).alias("within"), whole.alias("same"))
+
+
 @query("ml_feature_importances")
 def ml_feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.importances(_model(spark, sf_dir))
@@ -192,13 +260,24 @@ def ml_train_and_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, metrics = learn.train_and_evaluate(
         clean.filter_split(features, "train"), clean.filter_split(features, "test"),
         NSL_KDD.numeric, NSL_KDD.categorical, partitions=spark.sparkContext.defaultParallelism,
+        flags=NSL_KDD.rules.flag_columns,
     )
     return learn.metrics_rows(spark, metrics)
 
 
 @query("ml_train_conn")
 def ml_train_conn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(spark, sf_dir, NSL_KDD.name)
+    novel = learn.novel_label_rows(_features(spark, sf_dir, NSL_KDD.name), NSL_KDD)
+    return _metrics(spark, sf_dir, NSL_KDD.name).unionByName(novel)
+
+
+@query("novel_label_rows", twin("""
+    SELECT 'novel_attack_types_in_test' AS metric, cast(row_number() OVER (ORDER BY attack_type) - 1 AS varchar) AS "key",
+        cast(null AS double) AS "value", attack_type AS "text"
+    FROM (SELECT DISTINCT attack_type FROM clean_conn WHERE split = 'test'
+        AND attack_type NOT IN (SELECT attack_type FROM clean_conn WHERE split = 'train'))"""))
+def novel_label_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learn.novel_label_rows(_features(spark, sf_dir, NSL_KDD.name), NSL_KDD)
 
 
 @query("ml_train_flow")
