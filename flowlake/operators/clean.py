@@ -138,14 +138,27 @@ def dedup_across_sources(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     keys = flow_keys(spec)
     ranked = df.withColumn("_rank", source_rank(spec, F.col("source_day")))
     winners = ranked.groupBy(*keys).agg(F.min("_rank").alias("_rank"))
+    return _tag_winners(winners, spec).select(*df.columns)
+
+
+def _tag_winners(winners: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Source and split of the winning `_rank`."""
     days = F.array(*[F.lit(k) for k in spec.source_order])
     splits = F.array(*[F.lit(spec.split_of(k)) for k in spec.source_order])
     position = F.col("_rank") + 1
-    tagged = winners.withColumns({
+    return winners.withColumns({
         "source_day": F.element_at(days, position),
         "split": F.element_at(splits, position),
     })
-    return tagged.select(*df.columns)
+
+
+def clean_folded(folded: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The cleaned table from a (stored) fold of the raw rows (`quality.fold`)."""
+    columns = [c for c in spec.columns if c not in spec.dropped_columns]
+    if spec.day_files:
+        kept = _tag_winners(drop_negative(folded, spec.duration_column), spec)
+        return add_labels(kept.select(*columns, "split", "source_day"), spec)
+    return add_labels(folded.select(*columns, "split"), spec)
 
 
 def clean_connections(df: DataFrame, spec: DatasetSpec) -> DataFrame:

@@ -32,12 +32,17 @@ def expected_row_status(df: DataFrame, source: str, expected: Mapping[str, int])
     """Actual against expected rows per source. A mismatch is a status, never a
     failure; a source without an expectation passes, one that is expected and
     has no rows is reported with 0."""
-    wanted = df.sparkSession.createDataFrame(list(expected.items()), "expected_source string, expected_rows long")
-    both = row_counts(df, source).join(wanted, F.col(source) == F.col("expected_source"), "full")
-    counts = both.select(
+    return expected_status(row_counts(df, source), source, expected)
+
+
+def expected_status(counts: DataFrame, source: str, expected: Mapping[str, int]) -> DataFrame:
+    """The same for rows that are counted already."""
+    wanted = counts.sparkSession.createDataFrame(list(expected.items()), "expected_source string, expected_rows long")
+    both = counts.join(wanted, F.col(source) == F.col("expected_source"), "full")
+    whole = both.select(
         F.coalesce(source, "expected_source").alias(source), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "expected_rows"
     )
-    return counts.withColumn(
+    return whole.withColumn(
         "status",
         F.when(F.col("expected_rows").isNull(), F.lit("unchecked"))
         .when(F.col("rows") == F.col("expected_rows"), F.lit("ok"))
@@ -132,37 +137,66 @@ def _total(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(0))
 
 
-def _report(
-    raw: DataFrame, cleaned: DataFrame | None, label: str, key: Sequence[str], valid: Column,
-    counters: Mapping[str, Column], measures: Mapping[str, Column], entries: Sequence[Entry],
+def _counters(
+    df: DataFrame, spec: DatasetSpec, sources: Sequence[str] | None, null_as_nonfinite: bool
+) -> tuple[DataFrame, list[str]]:
+    """The raw rows as cleaning sees them, with a 0/1 column for whatever a report
+    counts row by row, and the names of those columns. Counted before the
+    imputation hides what was there. Lines kept as malformed by the reader are
+    counted where the frame has them."""
+    counters: dict[str, Column] = {}
+    if CORRUPT in df.columns:
+        counters["_malformed"] = F.when(F.col(CORRUPT).isNotNull(), 1).otherwise(0)
+    if spec.day_files:
+        rank = source_rank(spec, F.col("source_day"))
+        ranks = {key: position for position, key in enumerate(spec.source_order)}
+        for c in spec.rate_columns:
+            counters[f"_bad_{c}"] = F.when(is_nonfinite(F.col(c)), 1).otherwise(0)
+            counters[f"_null_{c}"] = F.when(F.col(c).isNull(), 1).otherwise(0)
+        for source in sources or spec.source_order:
+            counters[f"_src_{source}"] = F.when(rank == ranks[source], 1).otherwise(0)
+    counted = df.withColumns(counters)
+    return impute_nonfinite(counted, spec.rate_columns, null_as_nonfinite=null_as_nonfinite), list(counters)
+
+
+def fold(
+    df: DataFrame, spec: DatasetSpec, sources: Sequence[str] | None = None, null_as_nonfinite: bool = False
 ) -> DataFrame:
-    """Long report on raw rows.
-
-    `counters` are 0/1 columns counted per row, `measures` sums over rows that
-    may use `_n` (rows) and the counters. Without a cleaned table the rows are
-    first folded by their dedup key, which tells copies apart; every measure is
-    then a sum over groups. With the stored cleaned table that wide shuffle is
-    not needed: raw rows are summed per label where they are read, and the
-    final rows are counted from the table. Lines kept as malformed by the
-    reader are counted where the frame has them.
+    """Raw rows with their copies collapsed: the dedup key, what survives of the
+    other columns (the smallest carried value; the winning source as `_rank`),
+    `_n` rows and the sums of the counters. Stored once, it gives both the cleaned
+    table (`clean.clean_folded`) and the quality report (`dq_stats_folded`), so raw
+    files are read and parsed a single time.
+
+    The counts are part of the aggregate, not metrics observed beside it: those
+    are added up again when a lost executor's map tasks run a second time.
     """
+    flagged, counters = _counters(df, spec, sources, null_as_nonfinite)
+    if spec.day_files:
+        keys, survivors = flow_keys(spec), {"_rank": source_rank(spec, F.col("source_day"))}
+    else:
+        keys, survivors = connection_keys(spec), {c: F.col(c) for c in spec.carried_columns}
+    return flagged.groupBy(*keys).agg(
+        *[F.min(c).alias(name) for name, c in survivors.items()],
+        _count().alias("_n"), *[F.sum(c).alias(c) for c in counters],
+    )
+
+
+def _report(
+    rows: DataFrame, cleaned: DataFrame | None, label: str, valid: Column, final: Column,
+    measures: Mapping[str, Column], entries: Sequence[Entry],
+) -> DataFrame:
+    """Long report on rows of `_n` copies each with their counters, summed per
+    label. `final` marks what each row adds to the final rows; with a stored
+    cleaned table these are counted from there."""
     n = F.col("_n")
-    if CORRUPT in raw.columns:
-        counters = {**counters, "_malformed": F.when(F.col(CORRUPT).isNotNull(), 1).otherwise(0)}
+    if "_malformed" in rows.columns:
         measures = {**measures, "_malformed": F.sum("_malformed")}
         entries = [*entries, ("malformed_rows", "", F.col("_malformed"))]
-    if cleaned is None:
-        rows = raw.groupBy(*key).agg(
-            _count().alias("_n"), *[F.sum(c).alias(name) for name, c in counters.items()]
-        )
-        final = _total(valid, F.lit(1))
-    else:
-        rows = raw.withColumns({"_n": F.lit(1), **counters})
-        final = F.lit(0)
     per_label = rows.groupBy(label).agg(
         F.sum(n).alias("_rows"),
         _total(valid, n).alias("_valid"),
-        final.alias("_final"),
+        _total(valid, final).alias("_final"),
         *[value.alias(name) for name, value in measures.items()],
     )
     report = _long_rows(per_label, [
@@ -180,20 +214,26 @@ def _report(
     # Every fixed line is there, with 0, even if there are no rows at all.
     fixed = {(m, k) for m, k, _ in entries if isinstance(k, str)} | {
         (m, "") for m in ("total_raw_rows", "duplicates_removed", "final_cleaned_rows")}
-    zeros = _long_rows(raw.sparkSession.range(1), [(m, k, F.lit(0)) for m, k in sorted(fixed)])
+    zeros = _long_rows(rows.sparkSession.range(1), [(m, k, F.lit(0)) for m, k in sorted(fixed)])
     return _summed(report.unionByName(zeros))
 
 
-def dq_stats_connections(
-    df: DataFrame, spec: DatasetSpec, cleaned: DataFrame | None = None
-) -> DataFrame:
-    """Long report on raw connection rows: rows per split, duplicates, final
-    rows, distinct labels per split, novel and unmapped labels (one row each,
-    value = their rows). `cleaned` is the stored table made from these rows."""
-    label = F.col(spec.label)
-    train, test = F.col("_train"), F.col("_test")
+def _rows_to_report(
+    df: DataFrame, spec: DatasetSpec, sources: Sequence[str] | None, null_as_nonfinite: bool, cleaned: DataFrame | None
+) -> tuple[DataFrame, Column]:
+    """What `_report` sums up, and what a row adds to the final rows: the fold,
+    whose rows are the final ones; or, next to a stored cleaned table, the raw
+    rows where they are read, without the wide shuffle."""
+    if cleaned is None:
+        return fold(df, spec, sources, null_as_nonfinite), F.lit(1)
+    flagged, _ = _counters(df, spec, sources, null_as_nonfinite)
+    return flagged.withColumn("_n", F.lit(1)), F.lit(0)
+
+
+def _connection_report(rows: DataFrame, final: Column, spec: DatasetSpec, cleaned: DataFrame | None) -> DataFrame:
+    label, train, test = F.col(spec.label), F.col("_train"), F.col("_test")
     return _report(
-        df, cleaned, spec.label, connection_keys(spec), F.lit(True), {},
+        rows, cleaned, spec.label, F.lit(True), final,
         {f"_{s}": _total(F.col("split") == s, F.col("_n")) for s in ("train", "test")},
         [
             ("raw_row_counts", "train", train),
@@ -207,39 +247,15 @@ def dq_stats_connections(
     )
 
 
-def dq_stats_flows(
-    df: DataFrame,
-    spec: DatasetSpec,
-    sources: Sequence[str] | None = None,
-    null_as_nonfinite: bool = False,
-    cleaned: DataFrame | None = None,
+def _flow_report(
+    rows: DataFrame, final: Column, spec: DatasetSpec, sources: Sequence[str], cleaned: DataFrame | None
 ) -> DataFrame:
-    """Long report on raw flow rows: rows per source, negative and null
-    durations, non-finite and null cells per rate column (counted on the rows
-    that survive the duration filter), duplicates after imputation, final rows
-    and unmapped labels. `null_as_nonfinite` must say what the cleaning it
-    reports on does; `cleaned` is the stored table made from these rows.
-
-    Every invalid-duration row forms groups of its own (the duration is part of
-    the key), so one fold serves the counts before and after the filter.
-    """
-    sources = tuple(sources or spec.source_order)
     label, rates = F.col(spec.label), spec.rate_columns
-    rank = source_rank(spec, F.col("source_day"))
-    ranks = {key: position for position, key in enumerate(spec.source_order)}
-    counters = {
-        **{f"_bad_{c}": F.when(is_nonfinite(F.col(c)), 1).otherwise(0) for c in rates},
-        **{f"_null_{c}": F.when(F.col(c).isNull(), 1).otherwise(0) for c in rates},
-        **{f"_src_{s}": F.when(rank == ranks[s], 1).otherwise(0) for s in sources},
-    }
-    # Counted before the imputation hides what was there.
-    flagged = impute_nonfinite(df.withColumns(counters), rates, null_as_nonfinite=null_as_nonfinite)
     duration, n = F.col(spec.duration_column), F.col("_n")
     valid = duration >= 0
     cells = [f"_{kind}_{c}" for kind in ("bad", "null") for c in rates]
     return _report(
-        flagged, cleaned, spec.label, flow_keys(spec), valid,
-        {name: F.col(name) for name in counters},
+        rows, cleaned, spec.label, valid, final,
         {
             "_negative": _total(duration < 0, n),
             "_null": _total(duration.isNull(), n),
@@ -258,6 +274,44 @@ def dq_stats_flows(
     )
 
 
+def dq_stats_connections(
+    df: DataFrame, spec: DatasetSpec, cleaned: DataFrame | None = None
+) -> DataFrame:
+    """Long report on raw connection rows: rows per split, duplicates, final
+    rows, distinct labels per split, novel and unmapped labels (one row each,
+    value = their rows). `cleaned` is the stored table made from these rows."""
+    rows, final = _rows_to_report(df, spec, None, False, cleaned)
+    return _connection_report(rows, final, spec, cleaned)
+
+
+def dq_stats_flows(
+    df: DataFrame,
+    spec: DatasetSpec,
+    sources: Sequence[str] | None = None,
+    null_as_nonfinite: bool = False,
+    cleaned: DataFrame | None = None,
+) -> DataFrame:
+    """Long report on raw flow rows: rows per source, negative and null
+    durations, non-finite and null cells per rate column (counted on the rows
+    that survive the duration filter), duplicates after imputation, final rows
+    and unmapped labels. `null_as_nonfinite` must say what the cleaning it
+    reports on does; `cleaned` is the stored table made from these rows.
+
+    Every invalid-duration row forms groups of its own (the duration is part of
+    the key), so one fold serves the counts before and after the filter.
+    """
+    sources = tuple(sources or spec.source_order)
+    rows, final = _rows_to_report(df, spec, sources, null_as_nonfinite, cleaned)
+    return _flow_report(rows, final, spec, sources, cleaned)
+
+
+def dq_stats_folded(folded: DataFrame, spec: DatasetSpec, sources: Sequence[str] | None = None) -> DataFrame:
+    """The same report from a (stored) fold, whatever imputation it was made with."""
+    if not spec.day_files:
+        return _connection_report(folded, F.lit(1), spec, None)
+    return _flow_report(folded, F.lit(1), spec, tuple(sources or spec.source_order), None)
+
+
 def dq_stats(
     df: DataFrame,
     spec: DatasetSpec,

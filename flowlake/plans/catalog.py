@@ -59,4 +59,5 @@ def _load() -> None:
         queries_rules,
         queries_serve,
         queries_sources,
+        queries_streams,
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowlake.functions import is_nonfinite, map_lookup
 from flowlake.operators import clean, quality
 from flowlake.plans import bindings as b
-from flowlake.plans.catalog import query
+from flowlake.plans.catalog import once_per_application, query
 from flowlake.plans.twins import (
     CONNECTION_CATEGORY,
     CONNECTION_KEY,
@@ -19,6 +19,7 @@ from flowlake.plans.twins import (
     nonfinite,
     twin,
 )
+from flowlake.session import scratch_path
 from flowlake.sources import readers
 from flowlake.specs import CICIDS2017, NSL_KDD
 
@@ -142,6 +143,28 @@ DQ_CONNECTIONS = " UNION ALL ".join([
 ])
 
 
+@once_per_application
+def _folded(spark: SparkSession, sf_dir: str, dataset: str) -> str:
+    """Where the fold of a dataset's raw rows has been stored."""
+    raw, spec = {
+        NSL_KDD.name: (b.raw_connections, NSL_KDD), CICIDS2017.name: (b.raw_flows, CICIDS2017),
+    }[dataset]
+    path = scratch_path(spark, f"folded-{dataset}")
+    quality.fold(raw(spark, sf_dir), spec).write.parquet(path)
+    return path
+
+
+@query("clean_conn_folded", twin("SELECT * FROM clean_conn"))
+def clean_conn_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned table from the stored fold, which also gives the report."""
+    return clean.clean_folded(spark.read.parquet(_folded(spark, sf_dir, NSL_KDD.name)), NSL_KDD)
+
+
+@query("dq_stats_conn_folded", twin(DQ_CONNECTIONS))
+def dq_stats_conn_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_stats_folded(spark.read.parquet(_folded(spark, sf_dir, NSL_KDD.name)), NSL_KDD)
+
+
 @query("dq_stats_conn", twin(DQ_CONNECTIONS))
 def dq_stats_conn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_stats_connections(b.raw_connections(spark, sf_dir), NSL_KDD)
@@ -162,6 +185,18 @@ DQ_FLOWS = " UNION ALL ".join([
 ])
 
 
+@query("clean_flow_folded", twin(f"""
+    SELECT *, case when label = 'BENIGN' then 0 else 1 end AS is_attack, {FLOW_CATEGORY} AS attack_category
+    FROM dedup_flow"""))
+def clean_flow_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_folded(spark.read.parquet(_folded(spark, sf_dir, CICIDS2017.name)), CICIDS2017)
+
+
+@query("dq_stats_flow_folded", twin(DQ_FLOWS))
+def dq_stats_flow_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_stats_folded(spark.read.parquet(_folded(spark, sf_dir, CICIDS2017.name)), CICIDS2017, b.DAYS)
+
+
 @query("dq_stats_flow", twin(DQ_FLOWS))
 def dq_stats_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_stats_flows(b.raw_flows(spark, sf_dir), CICIDS2017, b.DAYS)

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +73,15 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _source_name(names: Sequence[str]) -> Column:
+    """Name of the registered file a row comes from: the file itself, or else the
+    folder it is a part of. Paths are percent-encoded there, except for `+`."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    return F.when(last.isin(*names), last).otherwise(F.element_at(parts, -2))
+
+
 def read_registry(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -80,19 +89,30 @@ def read_registry(
     keys: Sequence[str] | None = None,
     keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Union of a dataset's raw sources, each tagged with its split (train if
-    listed as a train source, else test) and, for day files, `source_day`."""
+    """A dataset's raw sources, each row tagged with its split (train if listed
+    as a train source, else test) and, for day files, `source_day`.
+
+    All files are one scan, however many there are: the tags come from a table
+    of sources, joined by the name of the file a row was read from. A row of no
+    registered file stops the job instead of losing its tags."""
     schema = raw_schema(spec)
     paths = {key: source_file(spec, folder, key) for key in keys or spec.default_sources}
-    frames = []
-    for key, path in paths.items():
-        tags = {"split": spec.split_of(key)} | ({"source_day": key} if spec.day_files else {})
-        if spec.header_line:
-            frame = read_positional_csv(spark, path, schema, spec.dropped_columns, keep_corrupt, **tags)
-        else:
-            frame = read_headerless_csv(spark, path, schema, keep_corrupt, **tags).drop(*spec.dropped_columns)
-        frames.append(frame)
-    return union_all(frames)
+    names = [os.path.basename(path) for path in paths.values()]
+    if len(set(names)) < len(names):
+        raise ValueError(f"{spec.name} has sources that share a file: {sorted(names)}")
+    reader = _keeping_corrupt(spark.read) if keep_corrupt else spark.read
+    if spec.header_line:
+        reader = reader.option("header", True).option("enforceSchema", True)
+    rows = reader.schema(with_corrupt_column(schema) if keep_corrupt else schema).csv(list(paths.values()))
+    # One row for each source.
+    tags = [(name, key, spec.split_of(key)) for key, name in zip(paths, names)]
+    sources = spark.createDataFrame(tags, "_name string, _source string, _split string")
+    tagged = rows.withColumn("_file", _source_name(names)).join(F.broadcast(sources), F.col("_file") == F.col("_name"), "left")
+    unknown = F.raise_error(F.concat(F.lit("rows of an unregistered file: "), "_file")).cast("string")
+    tagged = tagged.withColumn("split", F.coalesce("_split", unknown))
+    if spec.day_files:
+        tagged = tagged.withColumn("source_day", F.col("_source"))
+    return tagged.drop("_file", "_name", "_source", "_split", *spec.dropped_columns)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

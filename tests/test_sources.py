@@ -1,9 +1,12 @@
 import json
+from collections import Counter
+from dataclasses import replace
 
 import pytest
 from helpers import connection, csv_line, flow, long_report, plan_of
 
 from flowlake.operators import clean, quality
+from flowlake.plans import workflow
 from flowlake.sources import readers, sinks
 from flowlake.sources.schema import CORRUPT, raw_schema, schema_from_columns
 from flowlake.specs import CICIDS2017, NSL_KDD, SPECS, spec_for
@@ -72,6 +75,49 @@ def test_registry_fails_fast_and_tags(spark, tmp_path):
     assert {(r.source_day, r.split) for r in rows} == {("monday", "train"), ("friday_ddos", "test")}
 
 
+def test_registry_is_one_scan(spark, tmp_path):
+    """Many files, with names that paths encode, some of them folders of parts."""
+    files = {f"day {i}%+é": f"Day-{i} 100%+é.csv" for i in range(20)}
+    spec = replace(CICIDS2017, files=files, train_sources=tuple(files)[:7])
+    line = lambda i: csv_line(CICIDS2017, flow(destination_port=i)) + "\n"
+    for i, name in enumerate(files.values()):
+        head = ",".join(CICIDS2017.columns) + "\n"
+        if i % 3:
+            (tmp_path / name).write_text(head + line(i))
+        else:
+            (tmp_path / name).mkdir()
+            for part in range(2):
+                (tmp_path / name / f"part-{part}.csv").write_text(head + line(i))
+    df = readers.read_registry(spark, spec, str(tmp_path), keys=list(files))
+    assert plan_of(df).count("FileScan csv") == 1
+    got = Counter((r.source_day, r.split, r.destination_port) for r in df.collect())
+    assert got == {(key, "train" if i < 7 else "test", i): 1 if i % 3 else 2 for i, key in enumerate(files)}
+    few = readers.read_registry(spark, spec, str(tmp_path), keys=list(files)[:2], keep_corrupt=True)
+    assert [r[CORRUPT] for r in few.collect()] == [None] * 3 and few.columns == [*df.columns[:-2], CORRUPT, "split", "source_day"]
+    twice = replace(spec, files={**files, "again": files["day 0%+é"]})
+    with pytest.raises(ValueError, match="share a file"):
+        readers.read_registry(spark, twice, str(tmp_path), keys=["again", "day 0%+é"])
+
+
+def test_raw_files_are_read_once(spark, tmp_path, monkeypatch):
+    """Cleaning stage: every raw row is read by one job, whatever is reported."""
+    good = csv_line(NSL_KDD, connection())
+    other = csv_line(NSL_KDD, connection(attack_type="neptune"))
+    (tmp_path / NSL_KDD.files["train"]).write_text("\n".join([good, "1,tcp", good, other]))
+    (tmp_path / NSL_KDD.files["test"]).write_text(good + ",99\n")
+    counted = []
+    original = readers.read_registry
+    monkeypatch.setattr(readers, "read_registry", lambda *a, **k: counted.append(1) or original(*a, **k))
+    layout = workflow.Layout(str(tmp_path / "lake"), NSL_KDD.name)
+    workflow.clean_stage(spark, NSL_KDD, str(tmp_path), layout)
+    assert counted == [1]
+    report = {(r.metric, r.key): r.value for r in readers.read_report(spark, layout.quality_report).collect()}
+    assert report[("malformed_rows", "")] == 2 and report[("total_raw_rows", "")] == 5
+    assert report[("final_cleaned_rows", "")] == readers.read_table(spark, layout.cleaned).count() == 4
+    status = {r.key: (r.value, r.text) for r in readers.read_report(spark, layout.path("expected_rows")).collect()}
+    assert status == {"train": (4.0, "mismatch"), "test": (1.0, "mismatch")}
+
+
 def test_default_sources(spark, tmp_path):
     assert CICIDS2017.default_sources == ("monday", "wednesday", "friday_ddos")
     assert readers.source_file(NSL_KDD, "raw", "test") == "raw/KDDTest+.txt"
