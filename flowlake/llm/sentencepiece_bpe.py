@@ -3,12 +3,13 @@
 A text becomes symbols, one per character; all neighbouring pairs that form a
 vocabulary piece wait in an agenda ordered by the piece's score, then by place;
 the best is merged and its new neighbours join the agenda until it is empty.
-Symbols that are no piece fall back to their bytes.
+Symbols that are no piece fall back to their bytes. The agendas of short cuts of a
+text are the rows of one array and are worked off side by side.
 
 No piece joins a character to a following space mark, and none holds a line
 feed, so texts are cut at both; a cut falls into parts between characters that
-no piece has side by side. The ids of each distinct cut and part are kept in a
-bounded memory of each Python worker. Every cut is compared with the
+no piece has side by side. The ids of short cuts and parts met lately are kept in a
+bounded memory of each Python worker, in two generations. Every cut is compared with the
 sentencepiece library when it is first encoded, and every text's decoding is
 compared with the library's; a difference stops the job. Both comparisons are
 made for a whole Arrow batch at a time.
@@ -24,9 +25,10 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 from operator import add
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -35,14 +37,41 @@ from pyspark.sql import types as T
 from flowlake.llm.hashing import slices
 
 SPACE = "▁"
-# Distinct cuts a worker remembers at most, and half as many as parts; more only
-# costs time.
-REMEMBERED = 250_000
-# Parts up to this length keep their agenda as a list.
+# Cuts, and parts, of a generation that a worker remembers, each of so many characters
+# at most; there are two generations of both. Longer ones are encoded anew each time.
+REMEMBERED = 125_000
+LONGEST_REMEMBERED = 40
+# Cuts up to this length are encoded many at a time; longer ones part by part, and parts
+# up to this length keep their agenda as a list.
 SHORT = 48
+# Cells of the agendas of so many cuts.
+AGENDA_CELLS = 400_000
 NEVER = float("inf")
 
 
+class Memory:
+    """What was met lately: when the young generation is full it becomes the old one,
+    whose entries are forgotten unless they were met again in the meantime."""
+
+    def __init__(self, most: int = REMEMBERED) -> None:
+        self.most = most
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def get(self, key: str) -> tuple[int, ...] | None:
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: tuple[int, ...]) -> None:
+        if len(key) > LONGEST_REMEMBERED:
+            return
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class MergeVocabulary:
     """Pieces, scores and byte fallbacks of one model file's content."""
 
@@ -68,8 +97,76 @@ class MergeVocabulary:
         for value, i in self.byte_ids.items():
             self.bytes_of[i] = bytes([value])
         self.joined = {name[i:i + 2] for name in self.priority for i in range(len(name) - 1)}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.known_parts: dict[str, tuple[int, ...]] = {}
+        self.known, self.known_parts = Memory(), Memory()
+        self._number_symbols()
+
+    def _number_symbols(self) -> None:
+        """Numbers for what can become a symbol (pieces, and the characters in them), and
+        the pairs of symbols that make a piece, sorted, with priority and result."""
+        symbols = list(dict.fromkeys(chain(self.ids, chain.from_iterable(self.ids))))
+        number = {symbol: i for i, symbol in enumerate(symbols)}
+        # Of a character in no piece, which makes no pair.
+        self.stranger = len(symbols)
+        self.number_of = np.full(0x110000, self.stranger, np.int32)
+        for symbol, i in number.items():
+            if len(symbol) == 1:
+                self.number_of[ord(symbol)] = i
+        self.token_of = np.array([self.ids.get(symbol, -1) for symbol in symbols] + [-1], np.int32)
+        pairs = [
+            (number[name[:i]] * self.stranger + number[name[i:]], self.priority[name], number[name])
+            for name in self.priority for i in range(1, len(name)) if name[:i] in number and name[i:] in number
+        ]
+        keys, priorities, results = zip(*sorted(pairs))
+        self.pair_keys = np.array(keys, np.int64)
+        self.pair_priorities, self.pair_results = np.array(priorities), np.array(results, np.int32)
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Priority (NEVER if they make no piece) and result of neighbouring symbols."""
+        keys = left.astype(np.int64) * self.stranger + right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        fits = (self.pair_keys[at] == keys) & (left != self.stranger) & (right != self.stranger)
+        return np.where(fits, self.pair_priorities[at], NEVER), self.pair_results[at]
+
+    def encode_many(self, cuts: list[str]) -> list[tuple[int, ...]]:
+        """Ids of short cuts of one length, all agendas together: a row holds the
+        priority of each symbol with its right neighbour; the first smallest is merged,
+        and the pairs with both its neighbours are looked up anew, until no row has any."""
+        rows, length = len(cuts), len(cuts[0])
+        codes = np.frombuffer("".join(cuts).encode("utf-32-le"), np.uint32).reshape(rows, length)
+        symbols = self.number_of[codes]
+        agenda, results = np.full((rows, length), NEVER), np.zeros((rows, length), np.int32)
+        agenda[:, :-1], results[:, :-1] = self._pairs(symbols[:, :-1], symbols[:, 1:])
+        before = np.tile(np.arange(-1, length - 1, dtype=np.int32), (rows, 1))
+        after = np.tile(np.arange(1, length + 1, dtype=np.int32), (rows, 1))
+        alive = np.ones((rows, length), bool)
+        open_rows = np.arange(rows)
+        while True:
+            waiting = agenda[open_rows]
+            at = waiting.argmin(axis=1)
+            some = waiting[np.arange(len(at)), at] != NEVER
+            open_rows, at = open_rows[some], at[some]
+            if not len(open_rows):
+                break
+            right = after[open_rows, at]
+            symbols[open_rows, at] = results[open_rows, at]
+            alive[open_rows, right] = False
+            agenda[open_rows, right] = agenda[open_rows, at] = NEVER
+            behind = after[open_rows, right]
+            after[open_rows, at] = behind
+            for has, left_at, right_at in ((behind < length, at, behind), (before[open_rows, at] >= 0, before[open_rows, at], at)):
+                row, one, two = open_rows[has], left_at[has], right_at[has]
+                before[row, two] = one
+                agenda[row, one], results[row, one] = self._pairs(symbols[row, one], symbols[row, two])
+        tokens = self.token_of[symbols]
+        ends = np.cumsum(alive.sum(axis=1)).tolist()
+        flat = tokens[alive].tolist()
+        out = [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+        for row in np.flatnonzero(((tokens < 0) & alive).any(axis=1)).tolist():
+            # Only a single character can be no piece.
+            out[row] = tuple(chain.from_iterable(
+                (self.byte_ids[b] for b in cuts[row][i].encode()) if tokens[row, i] < 0 else (int(tokens[row, i]),)
+                for i in np.flatnonzero(alive[row])))
+        return out
 
     def encode_part(self, part: str) -> tuple[int, ...]:
         """Ids of a part, by the agenda. For the short parts that most are, the
@@ -132,31 +229,44 @@ class MergeVocabulary:
             part = cut[at:end]
             ids = known.get(part)
             if ids is None:
-                ids = known[part] = self.encode_part(part)
+                ids = self.encode_part(part)
+                known.put(part, ids)
             out, at = out + ids if at else ids, end
         return out
 
-    def learn(self, cuts: set[str]) -> None:
-        """Encodes new cuts and compares them with the library."""
-        new = list(cuts - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(cuts)
-        if len(self.known_parts) > 2 * REMEMBERED:
-            self.known_parts.clear()
-        ids = [self.encode_cut(c) for c in new]
+    def encode_cuts(self, cuts: list[str]) -> list[tuple[int, ...]]:
+        """Ids of cuts of any length."""
+        found: list[tuple[int, ...]] = [()] * len(cuts)
+        lengths = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        order = np.argsort(lengths, kind="stable")
+        edges = np.flatnonzero(np.diff(lengths[order], prepend=0, append=-1))
+        for start, end in pairwise(edges):
+            length = int(lengths[order[start]])
+            most = max(1, AGENDA_CELLS // length)
+            for at in range(start, end, most):
+                some = order[at:min(at + most, end)].tolist()
+                own = [cuts[i] for i in some]
+                for i, ids in zip(some, self.encode_many(own) if length <= SHORT else map(self.encode_cut, own)):
+                    found[i] = ids
+        return found
+
+    def learn(self, cuts: set[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of every cut: remembered ones, and new ones compared with the library."""
+        known = {cut: ids for cut in cuts if (ids := self.known.get(cut)) is not None}
+        new = [cut for cut in cuts if cut not in known]
         # After a line feed the library starts afresh, so a cut stands alone there.
         lead = len(self.library.encode("\n"))
         theirs = self.library.encode(["\n" + c.replace(SPACE, " ") for c in new], num_threads=1)
-        for cut, own, other in zip(new, ids, theirs):
+        for cut, own, other in zip(new, self.encode_cuts(new), theirs):
             if list(own) != other[lead:]:
                 raise ValueError(f"the agenda and the library disagree on {cut!r}")
-        self.known.update(zip(new, ids))
+            known[cut] = own
+            self.known.put(cut, own)
+        return known
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         cuts = [CUTS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        self.learn(set(chain.from_iterable(cuts)))
-        at = self.known.__getitem__
+        at = self.learn(set(chain.from_iterable(cuts))).__getitem__
         return [[*chain.from_iterable(map(at, c)), self.end_id] for c in cuts]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
