@@ -32,21 +32,53 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# Powers are products of two short tables, so nothing that grows with a text is kept.
+_ROW = 4096
+# Bytes hashed at a time.
+_PIECE = 1 << 20
+
+
 @lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    def table(b: int) -> np.ndarray:
-        out = np.full(n, b, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
+def _row(base: int) -> np.ndarray:
+    """base**i modulo 2**64 for i < _ROW."""
+    out = np.full(_ROW, base & _MASK, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _heads(base: int, n: int) -> np.ndarray:
+    """base**(_ROW * i) for as many i as n places need."""
+    out = np.full(-(-n // _ROW) or 1, pow(base, _ROW, 1 << 64), np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def powers(base: int, first: int, n: int) -> np.ndarray:
+    """base**i modulo 2**64 for first <= i < first + n; first is a multiple of _ROW."""
+    return np.multiply.outer(_heads(base, first + n)[first // _ROW:], _row(base)).ravel()[:n]
+
+
+def powers_at(base: int, places: np.ndarray) -> np.ndarray:
+    """base**i modulo 2**64 for every place i."""
+    heads = _heads(base, int(places.max()) + 1 if len(places) else 0)
+    return _row(base)[places % _ROW] * heads[places // _ROW]
+
 
-    return table(base), table(pow(base, -1, 1 << 64))
+def _inverse(base: int) -> int:
+    return pow(base, -1, 1 << 64)
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(10, int(n).bit_length())
-    up, down = _powers(base, size)
-    return up[:n], down[:n]
+def _prefix_sums(values: np.ndarray, base: int, add: int = 0) -> np.ndarray:
+    """Sums of (values[j] + add) * base**j for j < i, for every i."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    for at in range(0, len(values), _PIECE):
+        piece = values[at:at + _PIECE].astype(np.uint64)
+        if add:
+            piece += np.uint64(add)
+        piece *= powers(base, at, len(piece))
+        piece[:1] += sums[at:at + 1]
+        np.cumsum(piece, out=sums[at + 1:at + 1 + len(piece)])
+    return sums
 
 
 #: Bytes of a batch turned into Python strings, or handed on, at a time.
@@ -98,10 +130,8 @@ def words_of(texts: pa.Array, ends_word: np.ndarray = WHITE_SPACE, fold: np.ndar
     stops = inside.copy()
     stops[:-1] &= ~inside[1:] | fresh[1:n]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    up, down = powers(_BYTE_BASE, n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    sums = _prefix_sums(data, _BYTE_BASE, 1)
+    hashes = mix((sums[ends] - sums[starts]) * powers_at(_inverse(_BYTE_BASE), starts) + (ends - starts).astype(np.uint64))
     return Words(data, starts, ends, np.searchsorted(starts, offsets), hashes)
 
 
@@ -110,11 +140,9 @@ def runs_of(hashes: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     n = len(hashes)
     if n < k:
         return np.zeros(0, np.uint64)
-    up, down = powers(_WORD_BASE, n)
     own = mix(hashes + np.uint64(salt)) if salt else hashes
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(own * up, out=sums[1:])
-    return mix((sums[k:] - sums[:n - k + 1]) * down[:n - k + 1] + np.uint64(k))
+    sums = _prefix_sums(own, _WORD_BASE)
+    return mix((sums[k:] - sums[:n - k + 1]) * powers(_inverse(_WORD_BASE), 0, n - k + 1) + np.uint64(k))
 
 
 def runs_inside(bounds: np.ndarray, k: int, total: int) -> np.ndarray:
