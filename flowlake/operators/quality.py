@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowlake.functions import is_nonfinite
 from flowlake.operators.clean import connection_keys, flow_keys, impute_nonfinite, source_rank
+from flowlake.session import scratch_path
 from flowlake.specs import DatasetSpec
 
 # Where a reader keeps a malformed line (see sources.schema).
@@ -19,6 +20,12 @@ CORRUPT = "_corrupt_record"
 # longer one stays a distributed side of the join.
 LITERAL_ROWS = 10_000
 
+# Bits for each value of a longer list, the most for all of them (16 MB), and what
+# one bitmap of the built-in functions holds.
+BITS_PER_VALUE = 16
+BLOOM_BITS = 1 << 27
+BITMAP_BITS = 32_768
+
 
 def _count() -> Column:
     return F.count(F.lit(1))
@@ -73,17 +80,49 @@ def novel_labels(df: DataFrame, label: str, split: str = "split") -> DataFrame:
 
 
 def bounded(df: DataFrame, rows: int = LITERAL_ROWS) -> DataFrame:
-    """The same rows as a literal relation if there are at most `rows` of them:
-    the planner then knows their exact size and broadcasts them if they fit its
-    threshold. Unchanged otherwise, and a join shuffles both sides, splitting
-    skewed keys at run time."""
-    head = df.limit(rows + 1).toArrow()
-    return df if head.num_rows > rows else df.sparkSession.createDataFrame(head, df.schema)
+    """The same rows, computed once: written to the shared folder, and from there
+    a literal relation if there are at most `rows` of them. The planner then knows
+    their exact size and broadcasts them if they fit its threshold; a longer list
+    stays a stored table that a join shuffles, splitting skewed keys at run time."""
+    path = scratch_path(df.sparkSession, "list")
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    head = stored.limit(rows + 1).toArrow()
+    return stored if head.num_rows > rows else df.sparkSession.createDataFrame(head, df.schema)
+
+
+def _is_literal(df: DataFrame) -> bool:
+    return not df.inputFiles()
+
+
+def may_occur(df: DataFrame, column: str, values: DataFrame, bits: int = BLOOM_BITS) -> DataFrame:
+    """Rows whose value may occur in a long one-column list: all that do, and few
+    others. The list is a Bloom filter of one hash, kept as bitmaps of 4 KB by
+    leading part; it has `bits` bits at most whatever the length of the list, so
+    broadcasting it is safe. Null may occur in a list with a null."""
+    size = min(bits, max(BITMAP_BITS, 1 << (BITS_PER_VALUE * values.count()).bit_length()))
+
+    def place(value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(size))
+
+    bitmaps = values.toDF("_value").select(place(F.col("_value")).alias("_place")).groupBy(
+        (F.col("_place") / BITMAP_BITS).cast("long").alias("_bitmap")
+    ).agg(F.bitmap_construct_agg(F.col("_place") % BITMAP_BITS).alias("_bits"))
+    placed = df.withColumn("_place", place(F.col(column)))
+    both = placed.join(F.broadcast(bitmaps), (F.col("_place") / BITMAP_BITS).cast("long") == F.col("_bitmap"))
+    bit = (F.col("_place") % BITMAP_BITS).cast("int")
+    byte = F.conv(F.hex(F.substr("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return both.filter(F.getbit(byte, bit % 8) == 1).select(*df.columns)
 
 
 def rows_in_list(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
-    """Rows whose value occurs in a computed one-column list; null matches null."""
+    """Rows whose value occurs in a computed one-column list; null matches null.
+    A list too long to be a literal is joined by shuffle, after most rows without
+    a partner have been left out where they are read."""
     wanted = bounded(values).toDF("_wanted")
+    # Values of two types are equal without having one hash.
+    if not _is_literal(wanted) and df.schema[column].dataType == wanted.schema["_wanted"].dataType:
+        df = may_occur(df, column, wanted)
     return df.join(wanted, F.col(column).eqNullSafe(F.col("_wanted")), "left_semi")
 
 

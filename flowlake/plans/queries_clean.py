@@ -83,6 +83,15 @@ def filter_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rows_in_list(orders, "o_custkey", wanted).select("o_orderkey", "o_custkey")
 
 
+@query("filter_in_long_list", """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+    WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0)""")
+def filter_in_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list that outgrows a literal with the tables: filtered by its bitmaps first."""
+    listed = b.table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 5 != 0).select("o_orderkey")
+    return quality.rows_in_list(b.table(spark, sf_dir, "lineitem").select(*b.CONNECTION_ID), "l_orderkey", listed)
+
+
 @query("novel_labels", NEW_CUSTOMERS)
 def novel_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.novel_labels(_orders(spark, sf_dir), "o_custkey")

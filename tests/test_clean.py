@@ -171,11 +171,34 @@ def test_label_sets(spark):
     assert {r.label for r in quality.novel_labels(both, "label").collect()} == {"b"}
 
 
-def test_long_lists_are_joined_not_broadcast(spark):
+def test_lists_are_computed_once(spark):
+    runs = spark.sparkContext.accumulator(0)
     df = spark.range(1000).selectExpr("id AS k", "'test' AS split")
-    short, long = quality.bounded(df, 1000), quality.bounded(df, 999)
-    assert long is df and short is not df and short.count() == 1000
-    assert "LocalTableScan" in plan_of(short)
+    watched = spark.createDataFrame(df.rdd.map(lambda r: (runs.add(1), tuple(r))[1]), df.schema)
+    for most, kind in ((1000, "LocalTableScan"), (999, "FileScan")):
+        before = runs.value
+        found = quality.bounded(watched, most)
+        assert found.count() == 1000 and found.distinct().count() == 1000
+        assert runs.value == before + 1000 and kind in plan_of(found)
+
+
+def test_long_lists_are_filtered_by_bitmaps_and_joined(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LITERAL_ROWS", 100)
+    monkeypatch.setattr(quality.bounded, "__defaults__", (100,))
+    rows = [(i % 5000, i) for i in range(20_000)] + [(None, -1)]
+    df = spark.createDataFrame(rows, "k long, i long").repartition(4)
+    listed = spark.createDataFrame([(i,) for i in range(0, 9000, 3)] + [(None,), (3,)], "v long")
+    got = quality.rows_in_list(df, "k", listed)
+    assert sorted(r.i for r in got.collect()) == [-1, *(i for i in range(20_000) if i % 5000 % 3 == 0)]
+    plan = plan_of(got)
+    assert "bitmap_construct_agg" in plan and got.columns == ["k", "i"]
+    # Few rows without a partner are left, however few bits there are none is lost.
+    left = quality.may_occur(df, "k", listed).count()
+    assert 6668 < left < 8500
+    assert quality.may_occur(df, "k", listed, bits=32_768).filter("k % 3 = 0 OR k IS NULL").count() == got.count()
+    # Another type: no filter, the same rows.
+    short = quality.rows_in_list(df, "k", listed.selectExpr("cast(v AS int) AS v"))
+    assert short.count() == got.count() and "bitmap" not in plan_of(short)
 
 
 def test_scalar_helpers(spark):
