@@ -33,13 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlake.llm.hashing import slices
+from flowlake.llm.tables import stored
 
 MAX_LABELLED = 20_000
-# A token gets a weight if it is in so many different labelled toxic texts, and
-# its share of toxic texts has at least this G-statistic against the share of
-# toxic texts among all: chance alone gives that to hardly any of a million.
-MIN_TOXIC_TEXTS = 3
+# A token gets a weight if its share of toxic texts has at least this G-statistic
+# against the share of toxic texts among all: chance alone gives that to hardly any of
+# a million. Few texts can't show it, whatever they say (6 where a ninth is toxic).
 MIN_G = 25.0
+# ln K is the mean over the clean labelled texts and so many that say 0.
+PRIOR_TEXTS = 50
 PRIOR_TOKENS = 500.0
 LEAST_PRIOR = 0.5
 DRIFT = 0.3
@@ -214,19 +216,23 @@ def _best_segments(sample: DataFrame, weights: dict[bytes, float]) -> list[tuple
 
 def fit(docs: DataFrame, labels: DataFrame, usable=lambda doc_id: F.lit(True), text: str = "text") -> ToxicityModel:
     """usable(doc_id column): which labels may be learnt from."""
-    sample = _labelled(docs, labels, usable, text)
+    # Read several times below; its rows get their numbers once they are written.
+    sample = stored(_labelled(docs, labels, usable, text).withColumn("__row", F.monotonically_increasing_id()), "labelled-texts")
     # Copies of one text count once.
-    different = sample.withColumn("hash", F.xxhash64("__text")).dropDuplicates(["hash", "toxic"]).drop("hash")
-    counts = _token_counts(different)
+    firsts = sample.groupBy(F.xxhash64("__text").alias("hash"), "toxic").agg(F.min("__row").alias("__row")).select("__row")
+    different = sample.join(firsts, "__row", "left_semi").drop("__row")
+    sample = sample.drop("__row")
+    counts = stored(_token_counts(different), "token-counts")
     texts = {r["toxic"]: r["n"] for r in different.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     n_clean, n_toxic = counts.agg(F.sum("clean"), F.sum("toxic")).first()
     n_clean, n_toxic = n_clean or 0, n_toxic or 0
-    # At most the sample's toxic tokens / MIN_TOXIC_TEXTS rows.
-    rows = counts.filter(F.col("toxic_texts") >= MIN_TOXIC_TEXTS).collect()
     if not n_clean or not n_toxic:
         share = 1.0 if n_toxic else 0.0
         return ToxicityModel({}, 1.0, 0.0, 0.0, 500.0 if share else -500.0)
     toxic_share = texts[True] / (texts[True] + texts[False])
+    # Tokens in fewer toxic texts can't reach MIN_G. At most the sample's toxic tokens.
+    least = MIN_G / (2 * math.log(1 / toxic_share))
+    rows = counts.filter(F.col("toxic_texts") >= least).collect()
     background, total = _background(docs, text, {bytes(r["token"]) for r in rows})
     weights: dict[bytes, float] = {}
     share: dict[bytes, float] = {}
@@ -244,8 +250,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable=lambda doc_id: F.lit(True), t
     decay = _decay(scores) if weights else 1.0
     best = _best_segments(sample, weights)
     clean = [decay * s - math.log(n) for s, n, toxic in best if not toxic and s > 0 and n]
-    # The mean of the law is ln K + Euler's constant; without any, K = 1.
-    log_k = sum(clean) / len(clean) - 0.5772156649 if len(clean) >= 50 else 0.0
+    # The mean of the law is ln K + Euler's constant; few texts leave K near 1.
+    log_k = sum(x - 0.5772156649 for x in clean) / (len(clean) + PRIOR_TEXTS)
     plain = ToxicityModel(weights, decay, log_k, 1.0, 0.0)
     slope, shift = _logistic([(max(plain.surprise(s, n), 0.0) if s > 0 else 0.0, toxic) for s, n, toxic in best])
     return ToxicityModel(weights, decay, log_k, slope, shift)
@@ -254,8 +260,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable=lambda doc_id: F.lit(True), t
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
     """The kept columns, score (0 to 1) and passages: the segments that clean
     text of that length hardly shows, as token spans with their scores and how
-    many of them clean text would show."""
-    keep = list(keep)
+    many of them clean text would show. A kept column with a result's name gives
+    way to the result."""
+    keep = [c for c in keep if c not in ("score", "passages")]
     passage = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
