@@ -55,10 +55,14 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINES_SQL = r"""
 WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
-full_lines AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM lines WHERE regexp_replace(line, '\s', '', 'g') <> ''),
-windows AS (SELECT doc_id, k, w, [i, i2, i3] AS covered FROM (
-    SELECT doc_id, k, i, [line, lead(line) OVER d, lead(line, 2) OVER d] AS w, lead(i) OVER d AS i2, lead(i, 2) OVER d AS i3
-    FROM full_lines WINDOW d AS (PARTITION BY doc_id ORDER BY k)) WHERE i3 IS NOT NULL),
+full_lines AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k,
+    len(regexp_split_to_array(trim(regexp_replace(line, '\s+', ' ', 'g')), ' ')) AS n FROM lines WHERE regexp_replace(line, '\s', '', 'g') <> ''),
+following AS (SELECT *, lead(line) OVER d AS line2, lead(line, 2) OVER d AS line3, lead(i) OVER d AS i2, lead(i, 2) OVER d AS i3, lead(n) OVER d AS n2
+    FROM full_lines WINDOW d AS (PARTITION BY doc_id ORDER BY k)),
+windows AS (
+    SELECT doc_id, k, [line, line2, line3] AS w, [i, i2, i3] AS covered FROM following WHERE i3 IS NOT NULL
+    UNION ALL SELECT doc_id, k, [line, line2], [i, i2] FROM following WHERE n + n2 > 50
+    UNION ALL SELECT doc_id, k, [line], [i] FROM following WHERE n > 50),
 firsts AS (SELECT w, min(ROW(doc_id, k)) AS f FROM windows GROUP BY w HAVING count(*) > 1),
 gone AS (SELECT DISTINCT doc_id, unnest(covered) AS i FROM windows JOIN firsts USING (w) WHERE ROW(doc_id, k) > f)
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(g.i)::BIGINT AS n_removed,
@@ -69,8 +73,7 @@ FROM lines LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id"""
 @query("op5_line_dedup", LINES_SQL)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("before"))
-    # The twin states runs of three lines only.
-    kept = line_dedup.delete_repeated_lines(docs, long=None)
+    kept = line_dedup.delete_repeated_lines(docs)
     lines = F.when(F.col("text") == "", F.lit(0)).otherwise(F.size(F.split("text", "\n", -1)))
     return kept.select(
         "doc_id", F.col("before").cast("long").alias("n_lines"),
