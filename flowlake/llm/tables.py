@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_place(docs: DataFrame, fixed: Iterable[str] = ("doc_id", "text")) -> DataFrame:
+    """docs with every column but the fixed ones named by its place, so that whatever
+    they are called clashes with no name a stage uses. `toDF(*docs.columns)` gives
+    them their names back."""
+    return docs.toDF(*(c if c in fixed else f"__column_{i}" for i, c in enumerate(docs.columns)))
+
+
 # For the side of a join that is no table of texts. It grows with the documents
 # like the other side, so it is never broadcast, and texts needn't be sorted.
 BUILD_SIDE = "shuffle_hash"
