@@ -1,4 +1,7 @@
-"""Five stages that turn raw documents into encoded training documents."""
+"""Five stages that turn raw documents into encoded training documents.
+
+Columns beside doc_id and text pass through all filtering stages under whatever name
+they have; the last stage returns its own columns only."""
 
 from __future__ import annotations
 
@@ -9,13 +12,15 @@ from flowlake.llm import decontaminate, jaccard_join, line_dedup, toxicity
 from flowlake.llm.queries_models import held_out
 from flowlake.llm.queries_text import piece_model
 from flowlake.llm.sentencepiece_bpe import encode_decode
-from flowlake.llm.tables import stored, table
+from flowlake.llm.tables import by_place, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go. The held-out labels are not learnt."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), lambda doc_id: ~held_out(doc_id))
-    return toxicity.score(docs, model, keep=docs.columns).filter("score < 0.5").select(*docs.columns)
+    placed = by_place(docs)
+    scored = toxicity.score(placed, model, keep=placed.columns)
+    return scored.filter("score < 0.5").select(*placed.columns).toDF(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +47,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return found.filter(F.size("hits") == 0).select(*docs.columns)
+    placed = by_place(docs)
+    found = decontaminate.find_contamination(placed, table(spark, sf_dir, "benchmark"), keep=placed.columns)
+    return found.filter(F.size("hits") == 0).select(*placed.columns).toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
