@@ -77,6 +77,19 @@ def test_pipeline_stages(spark, sf_dir):
     assert sorted(whole) == sorted(after.select("doc_id", "ids").collect())
 
 
+def test_stages_with_clashing_column_names(spark, sf_dir):
+    """Extra columns with names that operators use: each keeps its values."""
+    names = ("score", "hits", "items", "key", "starts", "spans", "ids", "entities", "new_text", "kept", "passages", "__row", "lines", "node", "n")
+    plain = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    docs = stored(plain.select("*", *(F.concat_ws("-", F.lit(c), "doc_id").alias(c) for c in names)), "clashing")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stored(stage(spark, docs, sf_dir), name)
+        assert after.columns == docs.columns and after.count() > 0
+        assert after.filter(" OR ".join(f"`{c}` <> concat('{c}-', doc_id)" for c in names)).isEmpty()
+    coded = corpus_pipeline.encode(spark, docs, sf_dir)
+    assert coded.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"] and coded.count() == docs.count()
+
+
 def test_near_copies_are_dropped_by_row(spark):
     one, other, third = (" ".join(f"{w}{i}" for i in range(40)) for w in "xyz")
     rows = [(5, one), (3, one), (3, other), (None, one), (7, third), (7, third), (None, "a b c d e f g"), (None, "a b c d e f g"),
