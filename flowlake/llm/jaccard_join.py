@@ -1,28 +1,28 @@
 """Exact Jaccard join of word shingles in its metric space, for components.
 
-1 - J is a metric, so pivots can divide the documents: whoever is within RADIUS
-of a pivot is linked with it, two documents whose distances to a pivot differ by
-more than RADIUS are not linked, and only what these windows leave is compared
-with further pivots. Over whole texts alone that would be useless: nearly all
-documents have no shingle in common, are equally far (1) from nearly every
-pivot, and no window divides them. The regions are therefore made where
-distances differ: two linked documents always share a shingle among the first
-n - ceil(0.8 n) + 1 of any common order, so all documents with such a shingle
-make one region, and a document stands in as many regions as it has such
-shingles. In each region
-
-1. the pivot is the member with the smallest set hash; every member's exact
-   distance to it is measured, those within RADIUS are linked;
-2. a region whose members are all in one component by now is finished;
-3. otherwise it is joined again, with up to PIVOTS new pivots, and twice as many
-   in each further turn, so turns grow with its logarithm; boundary members
-   are those of another component whose distance to the first pivot is within
-   RADIUS of the new pivot's; a pivot that has been compared leaves the region.
-
-It ends when no region is left, so no link between different components is
-missed. Documents with one shingle set are one class from the start. Any order
-of the shingles is right; shingles that are frequent in a bounded sample of
-documents come last, which keeps regions small where many share a passage.
+1 - J is a metric. Over whole texts alone pivots divide nothing: nearly all documents
+have no shingle in common, are equally far (1) from nearly every pivot, and no window
+of the triangle inequality rules anyone out. So the join first finds where distances
+differ, and divides there:
+
+1. Regions. Two linked documents always share a shingle among the first
+   n - ceil(0.8 n) + 1 of any common order, so all documents with such a shingle make
+   one region. Regions with the same members are one.
+2. Clusters. Counts of shingles by hash bucket bring sets only closer: half the sum of
+   their differences is a distance that never exceeds the true one. Members of a region
+   that are too far apart even so aren't linked; the others are connected, over all
+   regions, to clusters. Links never leave a cluster, and every document is in one.
+3. Cells. Within a cluster pivots are chosen, every member goes to the cell of the nearest
+   one, and boundary members are replicated to each cell whose pivot is at most twice
+   the radius farther away: of two linked documents both are then in the cell of either.
+   A cell is divided again until it is small or divides no more, and then compared.
+   Whoever is linked with a pivot, or has become part of one component, isn't compared.
+
+Shingle sets are sent once, to the task of their cluster, and only the edges of a
+spanning forest come back; no pair is ever a row. A region or a cluster too large for a
+task is cut into blocks, see `_forest`. Documents with one shingle set are one class from
+the start. Any order of the shingles is right; those that are frequent in a bounded
+sample of documents come last, which keeps regions small where many share a passage.
 
 Defined results: A-Z are folded; a null text or one without words has no shingles
 and stands alone; with fewer than five words the whole sequence is the only
@@ -33,14 +33,13 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-from itertools import count
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from flowlake.llm.components import connected_components
 from flowlake.llm.hashing import LOWER, WHITE_SPACE, mix, runs_inside, runs_of, slices, words_of
@@ -50,15 +49,24 @@ WORDS = 5
 # J >= 80 %, distance <= 20 %.
 PERCENT = 80
 RADIUS = 1 - PERCENT / 100
-PIVOTS = 64
 # The order of shingles looks at so many documents, and keeps so many shingles.
 ORDER_DOCUMENTS = 5_000
 ORDER_SHINGLES = 100_000
 SLICE_BYTES = 3_000_000
-# Counts of a class's shingles by hash bucket.
-FOLDS = 128
-# Pairs are measured in so many turns at most, each of so many pairs at least.
-TURNS, TURN_PAIRS = 8, 10_000
+# Hash buckets of a set, at least; they double with its size, from 8 shingles each on.
+FOLDS = 16
+FULL = 255
+# Members of a block of a region, and of the regions that share a task, about.
+REGION_BLOCK = 4096
+REGION_ROWS = 20_000
+# Shingles of a block of a cluster, and of the clusters that share a task, about.
+CLUSTER_SHINGLES = 1_000_000
+# So many edges are one task's work; more are joined step by step.
+TASK_EDGES = 1_000_000
+# Pivots of a division, and members that are compared without one.
+PIVOTS, LEAF = 8, 32
+
+_EDGES = "a long, b long"
 
 
 def shingles_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,11 +103,17 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch,
         yield part, part.column(column)
 
 
-def _folded(text: np.ndarray, hashes: np.ndarray, texts: int) -> pa.Array:
-    """How many shingles of each text fall into each of FOLDS buckets."""
-    bucket = (hashes >> np.uint64(40)) & np.uint64(FOLDS - 1)
-    counts = np.bincount(text * FOLDS + bucket.astype(np.int64), minlength=texts * FOLDS)
-    return pa.ListArray.from_arrays(pa.array(np.arange(texts + 1) * FOLDS, pa.int32()), pa.array(counts, pa.int32()))
+def _folded(text: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> pa.Array:
+    """How many shingles of each text fall into each of its hash buckets, in a byte; more
+    than FULL count as FULL, which brings sets closer still. Buckets go by leading bits,
+    so two neighbours are one of half as many."""
+    bits = np.maximum(np.frexp(n / 4)[1] - 1, FOLDS.bit_length() - 1).astype(np.uint64)
+    sizes = np.int64(1) << bits.astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    bucket = (hashes >> (np.uint64(64) - bits[text])).astype(np.int64)
+    counts = np.minimum(np.bincount(bucket + starts[text], minlength=int(sizes.sum())), FULL).astype(np.uint8)
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(counts)])
 
 
 def _members(docs: DataFrame, salt: int) -> DataFrame:
@@ -110,10 +124,10 @@ def _members(docs: DataFrame, salt: int) -> DataFrame:
                 text, hashes, n = shingles_of(texts)
                 node, check = (_set_hashes(text, hashes, len(texts), s) for s in (salt, salt + 0x5DEECE66D))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(node), pa.array(check), _folded(text, hashes, len(texts))],
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(node), pa.array(check), _folded(text, hashes, n)],
                     ["doc_id", "n", "node", "check", "folds"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, check long, folds array<int>")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, check long, folds binary")
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
@@ -132,8 +146,8 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     return np.sort(found.column("shingle").to_numpy().view(np.uint64))
 
 
-def _regions(docs: DataFrame, frequent: np.ndarray, salt: int) -> DataFrame:
-    """shingle, node, n: the first n - ceil(0.8 n) + 1 shingles of every text."""
+def _prefixes(docs: DataFrame, frequent: np.ndarray, salt: int) -> DataFrame:
+    """shingle, node: the first n - ceil(0.8 n) + 1 shingles of every text."""
     def run(batches):
         for batch in batches:
             for _, texts in _texts(batch, 1):
@@ -152,129 +166,253 @@ def _regions(docs: DataFrame, frequent: np.ndarray, salt: int) -> DataFrame:
                 rank = np.arange(len(text)) - np.searchsorted(text, text)
                 first = rank < (n - (n * PERCENT + 99) // 100 + 1)[text]
                 text, hashes = text[first], hashes[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(node[text]), pa.array(n[text].astype(np.int32))], ["shingle", "node", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(node[text])], ["shingle", "node"])
+
+    return docs.mapInArrow(run, "shingle long, node long")
+
 
-    return docs.mapInArrow(run, "shingle long, node long, n int")
+def _regions(prefixes: DataFrame) -> DataFrame:
+    """region, members (how many) and node, for every set of classes that share a
+    shingle. A region is named by a hash of its members; should two sets have one name
+    they are compared as one. Rows are sorted within a shingle, and spilled, not held."""
+    own = Window.partitionBy("shingle")
+    again = F.lag("node").over(own.orderBy("node")).eqNullSafe(F.col("node"))
+    once = prefixes.withColumn("again", again).withColumn("one", F.when(F.col("again"), 0).otherwise(1))
+    named = once.withColumns({
+        "members": F.sum("one").over(own),
+        # Sums of 32 bits each don't overflow.
+        "region": F.sum(F.when(~F.col("again"), F.shiftright(F.xxhash64("node"), 32))).over(own),
+    })
+    shared = named.filter("NOT again AND members > 1")
+    return shared.select(F.xxhash64("region", "members").alias("region"), "members", "node").distinct()
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, salt: int) -> DataFrame:
-    """node and its shingles, for the classes in wanted (doc_id, node)."""
+    """wanted (doc_id, node, whole, size) with the shingles of its classes, eight
+    bytes each, in place of the id."""
     def run(batches):
         for batch in batches:
             for part, texts in _texts(batch, 1):
                 text, hashes, _ = shingles_of(texts)
-                node = pa.array(_set_hashes(text, hashes, len(texts), salt))
-                bounds = pa.array(np.searchsorted(text, np.arange(len(texts) + 1)), pa.int32())
-                lists = pa.ListArray.from_arrays(bounds, pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(2), node, lists], ["wanted", "node", "shingles"])
-
-    rows = docs.join(wanted.withColumnsRenamed({"doc_id": "__id", "node": "wanted"}).hint(BUILD_SIDE), F.col("doc_id").eqNullSafe(F.col("__id")))
-    found = rows.select("doc_id", "text", "wanted").mapInArrow(run, "wanted long, node long, shingles array<long>")
-    return found.filter("wanted = node").select("node", "shingles")
-
-
-def _similar_size(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
-
-
-class Measure:
-    """Exact distances of pairs that can be linked.
-
-    Counting shingles by hash bucket brings sets only closer: the sum of the
-    buckets' minima is at least the intersection, that of their maxima at most
-    the union. So a pair that is too far apart by its counts is not linked, and
-    its shingles are not needed. Those of a class are read when it is first in
-    a pair that is left, and kept for later rounds."""
-
-    def __init__(self, docs: DataFrame, classes: DataFrame, salt: int) -> None:
-        self.docs, self.classes, self.salt, self.sets = docs, classes, salt, None
-
-    def of(self, pairs: DataFrame) -> DataFrame:
-        low, high = (self.classes.select(F.col("node").alias(x), F.col("folds").alias(f"{x}_folds")) for x in ("lo", "hi"))
-        both = pairs.distinct().join(low, "lo").join(high, "hi").select(
-            "lo", "hi", F.zip_with("lo_folds", "hi_folds", lambda a, b: F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))).alias("folds"))
-        total = lambda field: F.aggregate("folds", F.lit(0).cast("long"), lambda acc, x: acc + x[field])
-        pairs = stored(both.filter(total("a") * 100 >= total("b") * PERCENT).select("lo", "hi"), "pairs")
-        nodes = pairs.select(F.col("lo").alias("node")).unionAll(pairs.select("hi")).distinct()
-        if self.sets is not None:
-            nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
-        wanted = stored(self.classes.join(nodes, "node"), "wanted-classes")
-        if not wanted.isEmpty():
-            more = stored(_sets(self.docs, wanted.select("doc_id", "node"), self.salt), "shingle-sets")
-            self.sets = more if self.sets is None else self.sets.unionAll(more)
-        if self.sets is None:
-            return pairs.selectExpr("lo", "hi", "0 AS common", "1 AS either")
-        # In a few turns, so that only a part of the sets is on its way at a time.
-        turns = min(TURNS, 1 + pairs.count() // TURN_PAIRS)
-        turn = F.pmod(F.xxhash64("lo", "hi"), F.lit(turns))
-        parts = [stored(_distances(pairs.filter(turn == i), self.sets), "distances") for i in range(turns)]
-        return reduce(DataFrame.unionAll, parts)
-
-
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """lo, hi, common and either (sizes of intersection and union) of pairs."""
-    left = sets.select(F.col("node").alias("lo"), F.col("shingles").alias("a"))
-    right = sets.select(F.col("node").alias("hi"), F.col("shingles").alias("b"))
-    both = pairs.join(left, "lo").join(right, "hi")
-    common = both.select("lo", "hi", F.size(F.array_intersect("a", "b")).alias("common"), (F.size("a") + F.size("b")).alias("sum"))
-    return common.select("lo", "hi", "common", (F.col("sum") - F.col("common")).alias("either"))
-
-
-def _linked(distances: DataFrame) -> DataFrame:
-    return distances.filter(F.col("common").cast("long") * 100 >= F.col("either").cast("long") * PERCENT)
-
-
-def _pair(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")]
-
-
-def _relabelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """rows with their component replaced by the one it has become part of."""
-    new = groups.select(F.col("node").alias("old"), F.col("component").alias("new"))
-    joined = rows.join(new, F.col("component") == F.col("old"), "left")
-    return stored(joined.withColumn("component", F.coalesce("new", "component")).select(*rows.columns), "components")
+                node = _set_hashes(text, hashes, len(texts), salt)
+                offsets = (np.searchsorted(text, np.arange(len(texts) + 1)) * 8).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(hashes)])
+                found = pa.RecordBatch.from_arrays([*part.columns[2:], packed], ["node", "whole", "size", "shingles"])
+                # Another row with the id may have another set.
+                yield found.filter(pa.array(node == part.column(2).to_numpy()))
+
+    rows = docs.join(wanted.withColumnRenamed("doc_id", "__id").hint(BUILD_SIDE), F.col("doc_id").eqNullSafe(F.col("__id")))
+    found = rows.select("doc_id", "text", "node", "whole", "size").mapInArrow(run, "node long, whole long, size long, shingles binary")
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    return found if ids.isEmpty() else found.dropDuplicates(["node"])
+
+
+class Forest:
+    """Components of places, and the edges that made them. `known`: the component each
+    place is in already."""
+
+    def __init__(self, known: np.ndarray) -> None:
+        _, first, place = np.unique(known, return_index=True, return_inverse=True)
+        self.label = first[place]
+        self.edges: list[tuple[int, int]] = []
+
+    def link(self, one: int, others: np.ndarray) -> None:
+        """Of each other component one edge is enough."""
+        labels, first = np.unique(self.label[others], return_index=True)
+        strange = labels != self.label[one]
+        self.edges.extend((one, int(o)) for o in others[first[strange]])
+        self.label[np.isin(self.label, labels)] = self.label[one]
+
+    def split(self, places: np.ndarray) -> bool:
+        return len(places) > 1 and bool((self.label[places] != self.label[places[0]]).any())
+
+
+def connect_near(n: np.ndarray, folds: list[np.ndarray], forest: Forest, places: np.ndarray) -> None:
+    """Connects the places whose folds are near enough to be linked: sets of a and b
+    shingles with a difference of at most (a + b) / 9."""
+    by_size: dict[int, list[int]] = {}
+    for place in places.tolist():
+        by_size.setdefault(len(folds[place]), []).append(place)
+    for size, own in by_size.items():
+        # Sets of linked sizes have as many buckets, or twice as many.
+        rows = [folds[p] for p in own]
+        rows += [np.minimum(folds[p].reshape(-1, 2).sum(axis=1, dtype=np.int16), FULL) for p in by_size.get(2 * size, [])]
+        both = np.array([*own, *by_size.get(2 * size, [])])
+        table = np.stack(rows).astype(np.int16)
+        for i in range(len(own)):
+            others = i + 1 + np.flatnonzero(forest.label[both[i + 1:]] != forest.label[both[i]])
+            a, b = n[both[others]], n[both[i]]
+            others = others[np.minimum(a, b) * 100 >= np.maximum(a, b) * PERCENT]
+            if len(others):
+                apart = np.abs(table[others] - table[i]).sum(axis=1, dtype=np.int64)
+                near = apart * (100 + PERCENT) <= (n[both[others]] + n[both[i]]) * (100 - PERCENT)
+                if near.any():
+                    forest.link(both[i], both[others[near]])
+
+
+def _near_in_regions(table: pa.Table) -> pa.Table:
+    """One task's regions, or a block of a large one: a forest of near members."""
+    region, node, n = (table.column(c).to_numpy() for c in ("whole", "node", "n"))
+    raw = table.column("folds").combine_chunks()
+    folds = [np.frombuffer(v.as_buffer(), np.uint8) for v in raw]
+    order = np.argsort(region, kind="stable")
+    edges = np.append(np.flatnonzero(np.diff(region[order], prepend=region[order[0]] - 1)), len(order))
+    forest = Forest(table.column("known").to_numpy())
+    for start, end in zip(edges, edges[1:]):
+        connect_near(n, folds, forest, order[start:end])
+    return _edges(forest, node)
+
+
+def _edges(forest: Forest, node: np.ndarray) -> pa.Table:
+    found = np.array(forest.edges, np.int64).reshape(-1, 2)
+    return pa.table({"a": node[found[:, 0]], "b": node[found[:, 1]]})
+
+
+class Cells:
+    """The sets of one group of clusters; places are row numbers."""
+
+    def __init__(self, sets: list[np.ndarray], known: np.ndarray) -> None:
+        self.n = np.array([len(s) for s in sets])
+        self.bounds = np.append(0, np.cumsum(self.n))
+        # Shingles numbered from 0.
+        different, self.shingle = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(len(different), bool)
+        self.forest = Forest(known)
+
+    def common(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections."""
+        own = self.shingle[self.bounds[one]:self.bounds[one + 1]]
+        self.mark[own] = True
+        sizes = self.n[others]
+        starts = np.cumsum(sizes) - sizes
+        places = np.arange(int(sizes.sum())) + np.repeat(self.bounds[others] - starts, sizes)
+        found = np.add.reduceat(self.mark[self.shingle[places]], starts, dtype=np.int64)
+        self.mark[own] = False
+        return found
+
+    def compare(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Links one place with the others it is linked to; the distances."""
+        common = self.common(one, others)
+        either = self.n[others] + self.n[one] - common
+        linked = common * 100 >= either * PERCENT
+        if linked.any():
+            self.forest.link(one, others[linked])
+        return 1 - common / either
+
+    def join(self, places: np.ndarray) -> None:
+        """All links among the places, but for those within one component."""
+        if not self.forest.split(places):
+            return
+        if len(places) > LEAF:
+            pivots = places[np.linspace(0, len(places) - 1, PIVOTS).astype(int)]
+            away = np.stack([self.compare(p, places) for p in pivots], axis=1)
+            least = away.min(axis=1, keepdims=True)
+            # The nearest pivot's cell, and boundary members of the others.
+            inside = away <= least + 2 * RADIUS + 1e-9
+            cells = [places[inside[:, c]] for c in range(PIVOTS) if (away[:, c] == least[:, 0]).any()]
+            # Worth it if the pairs within the cells are fewer than those among all.
+            if sum(len(cell) ** 2 for cell in cells) <= 0.8 * len(places) ** 2:
+                for cell in cells:
+                    self.join(cell)
+                return
+        for i in range(len(places) - 1):
+            others = places[i + 1:]
+            others = others[self.forest.label[others] != self.forest.label[places[i]]]
+            a, b = self.n[others], self.n[places[i]]
+            others = others[np.minimum(a, b) * 100 >= np.maximum(a, b) * PERCENT]
+            if len(others):
+                self.compare(places[i], others)
+
+
+def _links_in_clusters(table: pa.Table) -> pa.Table:
+    """One task's clusters, or a block of a large one: a forest of links."""
+    cluster, node = table.column("whole").to_numpy(), table.column("node").to_numpy()
+    sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles").combine_chunks()]
+    order = np.lexsort((node, cluster))
+    cells = Cells(sets, table.column("known").to_numpy())
+    edges = np.append(np.flatnonzero(np.diff(cluster[order], prepend=cluster[order[0]] - 1)), len(order))
+    for start, end in zip(edges, edges[1:]):
+        cells.join(order[start:end])
+    return _edges(cells.forest, node)
+
+
+def _components_at_once(table: pa.Table) -> pa.Table:
+    """node and component (the smallest node) of a bounded number of edges."""
+    a, b = table.column("a").to_numpy(), table.column("b").to_numpy()
+    node, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = place[:len(a)], place[len(a):]
+    label = np.arange(len(node))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        if (new == label).all():
+            return pa.table({"node": node, "component": node[label]})
+        label = new
+
+
+def _components(edges: DataFrame) -> DataFrame:
+    """node and component of all nodes with an edge; edges: stored."""
+    if edges.count() > TASK_EDGES:
+        return connected_components(edges)
+    found = edges.groupBy(F.lit(0).alias("all")).applyInArrow(_components_at_once, "node long, component long")
+    return stored(found, "components")
+
+
+def _forest(rows: DataFrame, room: int, tasks: int, connect: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """a, b: a forest of the links that `connect` finds within each whole (a region or a
+    cluster). rows (stored): whole, size (of the whole), node and what `connect` reads.
+
+    Wholes up to `room` share so many tasks, so each row is sent once. A larger one is cut into
+    blocks. First every block is joined by itself, with some members of the whole as
+    pivots in all of them, which leaves most of a group of near copies in one component.
+    Then all but the largest component's members are sent to every block: of two members
+    of different components one is such a stray, and meets the other in its block. So
+    what is sent grows with the strays, not with the square of the whole."""
+    key = lambda seed: F.xxhash64("node", F.lit(seed))
+    blocks = F.ceil(F.col("size") / room)
+
+    def joined(placed: DataFrame) -> DataFrame:
+        return stored(placed.groupBy("task", "block").applyInArrow(connect, _EDGES), "forest")
+
+    small = rows.filter(F.col("size") <= room).withColumn("known", F.col("node"))
+    shared = F.pmod(F.xxhash64("whole", F.lit(5)), F.lit(max(1, tasks)))
+    found = joined(small.withColumns({"task": shared, "block": F.lit(-1).cast("long")}))
+    large = rows.filter(F.col("size") > room).withColumns({"task": F.col("whole"), "block": F.pmod(key(3), blocks)})
+    if large.isEmpty():
+        return found
+    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    by_hash = Window.partitionBy("whole").orderBy(key(7), "node")
+    pivots = large.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= PIVOTS).drop("rank")
+    pivots = pivots.withColumn("own", F.col("block")).withColumn("block", everywhere).filter("block <> own").drop("own")
+    first = joined(large.unionByName(pivots).withColumn("known", F.col("node")))
+    components = _components(first).withColumnRenamed("component", "known")
+    known = stored(large.join(components, "node", "left").select("whole", "node", F.coalesce("known", "node").alias("known")), "known-components")
+    counts = known.groupBy("whole", "known").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("whole").agg(F.max_by("known", F.struct("n", "known")).alias("largest"))
+    labelled = large.join(known.join(largest, "whole").hint(BUILD_SIDE), ["whole", "node"])
+    strays = labelled.filter("known <> largest").withColumn("own", F.col("block")).withColumn("block", everywhere).filter("block <> own")
+    second = joined(labelled.unionByName(strays.drop("own")))
+    return found.unionAll(first).unionAll(second)
 
 
 def _join_regions(docs: DataFrame, members: DataFrame, salt: int) -> DataFrame:
     """node, component: over all regions; classes in no region are left out."""
-    regions = _regions(docs, _frequent(docs), salt)
-    pivots = regions.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("other"), F.min_by("n", "node").alias("pivot_n"))
-    pivots = stored(pivots.filter("pivot < other").select("shingle", "pivot", "pivot_n"), "first-pivots")
-    rows = stored(regions.join(pivots, "shingle").select("shingle", "node", "n", "pivot", "pivot_n").distinct(), "regions")
-    classes = members.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("folds").alias("folds"))
-    classes = stored(classes.join(rows.select("node").distinct(), "node").select("doc_id", "node", "folds"), "region-classes")
-    measure = Measure(docs, classes, salt)
-    pairs = rows.filter((F.col("node") != F.col("pivot")) & _similar_size(F.col("n"), F.col("pivot_n"))).select(*_pair("node", "pivot"))
-    measured = stored(measure.of(pairs), "distances")
-    links = _linked(measured).select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    labels = _relabelled(classes.select("node", F.col("node").alias("component")), connected_components(links))
-    # What is left: members with their distance to the first pivot, if measured.
-    far = measured.select("lo", "hi", (1 - F.col("common") / F.col("either")).alias("away"))
-    rest = rows.withColumns({"lo": F.least("node", "pivot"), "hi": F.greatest("node", "pivot")}).join(far, ["lo", "hi"], "left")
-    rest = rest.filter("node != pivot").select("shingle", "node", "n", "away").join(labels, "node")
-    for turn in count():
-        rest = stored(rest, "unfinished-members")
-        several = rest.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("shingle")
-        rest = stored(rest.join(several, "shingle", "left_semi"), "unfinished-regions")
-        if rest.isEmpty():
-            return labels
-        # New pivots, one of each hash class of members.
-        chosen = rest.groupBy("shingle", F.pmod(F.xxhash64("node"), F.lit(PIVOTS << turn)).alias("class")).agg(
-            F.min(F.struct("node", "n", "away", "component")).alias("p"))
-        chosen = stored(chosen.select("shingle", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"),
-                                      F.col("p.away").alias("pivot_away"), F.col("p.component").alias("pivot_component")), "next-pivots")
-        window = F.coalesce(F.abs(F.col("away") - F.col("pivot_away")) <= RADIUS + 1e-9, F.lit(True))
-        pairs = rest.join(chosen, "shingle").filter(
-            (F.col("component") != F.col("pivot_component")) & _similar_size(F.col("n"), F.col("pivot_n")) & window)
-        measured = measure.of(pairs.select(*_pair("node", "pivot")))
-        own, other = (labels.toDF(f"node_{x}", x) for x in "ab")
-        links = _linked(measured).join(own, F.col("lo") == F.col("node_a")).join(other, F.col("hi") == F.col("node_b"))
-        links = stored(links.select("a", "b").distinct(), "component-links")
-        rest = rest.join(chosen.select("shingle", F.col("pivot").alias("node")), ["shingle", "node"], "left_anti")
-        if not links.isEmpty():
-            groups = connected_components(links)
-            labels, rest = _relabelled(labels, groups), _relabelled(rest, groups)
+    regions = stored(_regions(_prefixes(docs, _frequent(docs), salt)), "regions")
+    rows = regions.count()
+    classes = members.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("folds").alias("folds"))
+    classes = stored(classes.join(regions.select("node").distinct(), "node"), "region-classes")
+    known = regions.join(classes.select("node", "n", "folds"), "node").withColumnsRenamed({"region": "whole", "members": "size"})
+    near = _forest(stored(known, "region-members"), REGION_BLOCK, rows // REGION_ROWS, _near_in_regions)
+    clusters = _components(near).withColumnRenamed("component", "whole")
+    wanted = stored(clusters.join(classes.select("node", "doc_id", "n"), "node"), "wanted-classes")
+    sizes = wanted.groupBy("whole").agg(F.sum("n").alias("size"))
+    total = wanted.agg(F.sum("n")).first()[0] or 0
+    placed = stored(wanted.join(sizes, "whole").select("doc_id", "node", "whole", "size"), "cluster-sizes")
+    sets = stored(_sets(docs, placed, salt), "shingle-sets")
+    return _components(_forest(sets, CLUSTER_SHINGLES, total // CLUSTER_SHINGLES, _links_in_clusters))
 
 
 def find_components(docs: DataFrame, text: str = "text") -> DataFrame:

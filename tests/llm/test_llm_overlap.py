@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from flowlake.llm import decontaminate, jaccard_join, line_dedup, substring_dedup
@@ -101,7 +102,11 @@ def similar_components(rows):
 
 @pytest.mark.parametrize("pivots", [64, 1])
 def test_components_against_brute_force(spark, monkeypatch, pivots):
+    """Also with blocks so small that regions and clusters are cut into many."""
     monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
+    if pivots == 1:
+        for name, value in (("REGION_BLOCK", 4), ("REGION_ROWS", 30), ("CLUSTER_SHINGLES", 400), ("LEAF", 3), ("TASK_EDGES", 5)):
+            monkeypatch.setattr(jaccard_join, name, value)
     rng = random.Random(pivots)
     base = prose(rng, 60).split()
     family = []
@@ -115,6 +120,75 @@ def test_components_against_brute_force(spark, monkeypatch, pivots):
     assert got == similar_components(rows)
 
 
+def test_a_large_group_of_near_copies(spark):
+    """2,000 different texts made from one, at similarities around the threshold: some
+    are linked with many, some with none, and chains lead from one to the other."""
+    rng = random.Random(12)
+    base = prose(rng, 120).split()
+    rows = []
+    for i in range(2000):
+        words = base[:]
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4, 6])):
+            words[rng.randrange(120)] = f"w{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.find_components(documents(spark, rows)).collect()), key=str)
+    expected = similar_components(rows)
+    assert got == expected and 1 < len({c for *_, c in expected}) < 1000
+
+
+def test_cells_keep_every_link():
+    """Division into cells against all pairs, on sets with clusters within clusters."""
+    rng = np.random.default_rng(3)
+    sets = []
+    for _ in range(6):
+        centre = rng.integers(0, 1 << 60, 90)
+        for _ in range(8):
+            own = np.where(rng.random(90) < 0.25, rng.integers(0, 1 << 60, 90), centre)
+            sets += [np.unique(np.where(rng.random(90) < rng.choice([0.02, 0.06, 0.12]), rng.integers(0, 1 << 60, 90), own)) for _ in range(12)]
+    cells = jaccard_join.Cells([s.astype(np.uint64) for s in sets], np.arange(len(sets)))
+    cells.join(np.arange(len(sets)))
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    pairs = lambda labels: {(i, labels.index(x)) for i, x in enumerate(labels)}
+    assert pairs(cells.forest.label.tolist()) == pairs(label) and 6 < len(set(label)) < len(sets)
+    assert len(cells.forest.edges) == len(sets) - len(set(label))
+
+
+def test_folds_never_exceed_the_distance():
+    rng = np.random.default_rng(4)
+    for size in (5, 300, 1100, 2047, 2048, 5000):
+        a = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        b = np.concatenate([a[: int(size * 0.9)], rng.integers(0, 1 << 63, size // 8).astype(np.uint64)])
+        texts = [np.unique(a), np.unique(b)]
+        text = np.repeat([0, 1], [len(t) for t in texts])
+        n = np.array([len(t) for t in texts])
+        folds = [np.frombuffer(v.as_buffer(), np.uint8) for v in jaccard_join._folded(text, np.concatenate(texts), n)]
+        assert [int(f.sum()) for f in folds] == n.tolist()
+        common = len(np.intersect1d(*texts))
+        forest = jaccard_join.Forest(np.arange(2))
+        jaccard_join.connect_near(n, folds, forest, np.arange(2))
+        if 100 * common >= 80 * (n.sum() - common):
+            assert forest.edges
+
+
+def test_full_buckets_bring_sets_closer_only():
+    """A set whose shingles crowd a few buckets, against one folded half as fine."""
+    a = np.arange(1, 2048, dtype=np.uint64) << np.uint64(40)
+    b = np.arange(1, 2149, dtype=np.uint64) << np.uint64(40)
+    n = np.array([len(a), len(b)])
+    text = np.repeat([0, 1], n)
+    folds = [np.frombuffer(v.as_buffer(), np.uint8) for v in jaccard_join._folded(text, np.concatenate([a, b]), n)]
+    assert len(folds[1]) == 2 * len(folds[0]) and folds[0].max() == 255
+    forest = jaccard_join.Forest(np.arange(2))
+    jaccard_join.connect_near(n, folds, forest, np.arange(2))
+    assert forest.edges
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard_join.find_components(documents(spark, [])).count() == 0
     got = jaccard_join.find_components(documents(spark, [(1, None), (2, ""), (3, " ")])).collect()
