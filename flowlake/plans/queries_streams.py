@@ -62,7 +62,12 @@ def stream_score_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
               lambda rows: scoring.score_records(model, rows, NSL_KDD, out, checkpoint, b.CONNECTION_ID))
     whole = learn.score_partial(model, records, NSL_KDD, keep=b.CONNECTION_ID)
     answers = ("attack_probability", "predicted_label", "rule_flags", "features_used", "invalid_features")
-    again = whole.select(*b.CONNECTION_ID, F.struct(*answers).alias("batch"))
-    streamed = spark.read.parquet(out).select(*b.CONNECTION_ID, F.struct(*answers).alias("streamed"))
-    return streamed.join(again, list(b.CONNECTION_ID), "full").select(
-        *b.CONNECTION_ID, F.col("batch").eqNullSafe(F.col("streamed")).alias("same"))
+    # Ids may repeat: whole answers are counted on both sides.
+    sides = [
+        rows.select(*b.CONNECTION_ID, F.struct(*answers).alias("answer"), F.lit(n).alias("n"))
+        for n, rows in ((1, spark.read.parquet(out)), (-1, whole))
+    ]
+    counts = sides[0].unionAll(sides[1]).groupBy(*b.CONNECTION_ID, "answer").agg(
+        F.sum("n").alias("difference"), F.count_if(F.col("n") > 0).alias("streamed"), F.count_if(F.col("n") < 0).alias("batch"))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.greatest("streamed", "batch")))
+    return counts.withColumn("copy", copies).select(*b.CONNECTION_ID, (F.col("difference") == 0).alias("same"))
