@@ -15,8 +15,18 @@ from flowlake.llm.sentencepiece_bpe import encode_decode
 from flowlake.llm.tables import by_place, stored, table
 
 
+# Texts on their way to and from Python workers, at a time. The stages' last steps are
+# written by whoever runs them, so this is set for the session.
+BATCH_BYTES = "8m"
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go. The held-out labels are not learnt."""
+    _bound_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), lambda doc_id: ~held_out(doc_id))
     placed = by_place(docs)
     scored = toxicity.score(placed, model, keep=placed.columns)
@@ -25,7 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Runs of lines that stand earlier go; every document stays."""
-    short = line_dedup.delete_repeated_lines(docs)
+    short = line_dedup.delete_repeated_lines(by_place(docs)).toDF(*docs.columns)
     return short.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else short
 
 
@@ -34,19 +44,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     being the largest. Rows are documents of their own, whether or not they share
     an id: of repeated rows one stays, of two texts with one id each is judged for
     itself. Texts without words are in no group and all stay."""
+    _bound_batches(spark)
     # Numbers stay the same only once they are written.
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    placed = by_place(docs)
+    rows = stored(placed.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
     groups = jaccard_join.find_components(rows.select(F.col("__row").alias("doc_id"), "text"))
     groups = groups.select(F.col("doc_id").alias("__row"), "component_id")
     groups = stored(groups.join(rows.select("__row", "doc_id"), "__row"), "near-copy-groups")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).getField("__row").alias("__row")
     kept = groups.groupBy("component_id").agg(first).select("__row")
     gone = stored(groups.select("__row").join(kept, "__row", "left_anti"), "near-copies")
-    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
+    return rows.join(gone, "__row", "left_anti").select(*placed.columns).toDF(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
+    _bound_batches(spark)
     placed = by_place(docs)
     found = decontaminate.find_contamination(placed, table(spark, sf_dir, "benchmark"), keep=placed.columns)
     return found.filter(F.size("hits") == 0).select(*placed.columns).toDF(*docs.columns)
@@ -54,6 +67,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and a digest of the text they decode to."""
+    _bound_batches(spark)
     coded = encode_decode(docs, piece_model())
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
