@@ -16,12 +16,12 @@ from flowlake.specs import CICIDS2017, NSL_KDD
 RESOLUTION = 0.05
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.add_labels(b.flows(spark, sf_dir), CICIDS2017)
+def predictions(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return clean.add_labels(b.flows(spark, sf_dir, spread), CICIDS2017)
 
 
-def connection_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = clean.add_labels(b.connections(spark, sf_dir), NSL_KDD)
+def connection_predictions(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    labelled = clean.add_labels(b.connections(spark, sf_dir, spread), NSL_KDD)
     return labelled.withColumns({
         "attack_probability": F.col("duration") / 100,
         "prediction": F.expr("case when src_bytes > 60000 then 1D else 0D end"),

@@ -23,29 +23,29 @@ SCORED_AT = "2024-06-01 00:00:00"
 COMMON = names(serve.COMMON_COLUMNS)
 
 
-def served_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = engineer_features(connection_predictions(spark, sf_dir), NSL_KDD.rules)
+def served_connections(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    rows = engineer_features(connection_predictions(spark, sf_dir, spread), NSL_KDD.rules)
     return serve.project_common_schema(
         rows, "nsl_kdd", NSL_KDD.features, key=b.CONNECTION_ID
     )
 
 
-def served_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = engineer_features(predictions(spark, sf_dir), CICIDS2017.rules)
+def served_flows(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    rows = engineer_features(predictions(spark, sf_dir, spread), CICIDS2017.rules)
     # JSON has no infinity, and leaves nulls out.
     rows = clean.impute_nonfinite(rows, CICIDS2017.rate_columns, null_as_nonfinite=True)
     return serve.project_common_schema(rows, "cicids2017", CICIDS2017.features, key=["event_id"])
 
 
-def served(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.union_datasets(served_connections(spark, sf_dir), served_flows(spark, sf_dir))
+def served(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return serve.union_datasets(served_connections(spark, sf_dir, spread), served_flows(spark, sf_dir, spread))
 
 
 @once_per_application
 def _served_table(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "flows-scored")
     sinks.write_partitioned(
-        serve.stamp(served(spark, sf_dir), SCORED_AT), path,
+        serve.stamp(served(spark, sf_dir, spread=True), SCORED_AT), path,
         by=("dataset_source", "split"), lookup_column="flow_id",
     )
     return path

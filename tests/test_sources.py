@@ -4,6 +4,7 @@ from dataclasses import replace
 
 import pytest
 from helpers import connection, csv_line, flow, long_report, plan_of
+from pyspark.sql import functions as F
 
 from flowlake.operators import clean, quality
 from flowlake.plans import workflow
@@ -208,3 +209,26 @@ def test_cluster_without_a_shared_folder_is_an_error(monkeypatch):
         session.shared_folder(away)
     context.master = "local[2]"
     assert session.shared_folder(away)
+
+
+def test_wide_rows_are_spread_over_tasks(spark, tmp_path):
+    """However few splits a stored table has, a task gets a bounded number of rows;
+    a small table is not shuffled, and no row is lost."""
+    path = str(tmp_path / "compact")
+    spark.range(10_000).coalesce(1).write.parquet(path)
+    rows = readers.read_table(spark, path)
+    spread = readers.spread_rows(rows, 1_000)
+    sizes = spread.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) <= 1_100
+    assert spread.distinct().count() == 10_000
+    assert "Exchange" not in plan_of(readers.spread_rows(rows))
+
+
+def test_partitions_are_written_side_by_side(spark, tmp_path):
+    path = str(tmp_path / "split")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = spark.range(1_000).withColumn("split", F.when(F.col("id") % 3 == 0, "test").otherwise("train"))
+    sinks.write_partitioned(rows.coalesce(1), path)
+    stored = readers.read_table(spark, path)
+    assert sorted(r.id for r in stored.filter("split = 'test'").collect()) == list(range(0, 1_000, 3))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
