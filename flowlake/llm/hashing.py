@@ -6,6 +6,7 @@ of every word, and of every run of k words, in a few passes over the batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -85,12 +86,29 @@ def _prefix_sums(values: np.ndarray, base: int, add: int = 0) -> np.ndarray:
 SLICE_BYTES = 8_000_000
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Hands freed memory back to the machine. A Python worker lives through many stages,
+    and what it keeps of one is missing in the next."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Halves a batch until no part but one of a single row exceeds the bytes."""
+    """Halves a batch until no part but one of a single row exceeds the bytes. Once all
+    parts are done, what they took is given back."""
+    yield from _halves(batch, most)
+    give_back()
+
+
+def _halves(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
     if batch.num_rows > 1 and batch.nbytes > most:
         half = batch.num_rows // 2
-        yield from slices(batch.slice(0, half), most)
-        yield from slices(batch.slice(half), most)
+        yield from _halves(batch.slice(0, half), most)
+        yield from _halves(batch.slice(half), most)
     elif batch.num_rows:
         yield batch
 

@@ -25,7 +25,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, pairwise
+from itertools import chain, islice, pairwise
 from operator import add
 
 import numpy as np
@@ -47,6 +47,17 @@ SHORT = 48
 # Cells of the agendas of so many cuts.
 AGENDA_CELLS = 400_000
 NEVER = float("inf")
+# The table of pairs has two to this power of slots; a multiplier spreads the keys.
+SLOT_BITS = 20
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+# Cuts, one a line, that the library encodes in one text to compare with.
+COMPARED = 64
+# Texts decoded at a time.
+DECODED = 100
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return ((keys.astype(np.uint64) * SPREAD) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 class Memory:
@@ -71,6 +82,25 @@ class Memory:
             self.old, self.young = self.young, {}
         self.young[key] = value
 
+    def among(self, keys: set[str]) -> dict[str, tuple[int, ...]]:
+        """The remembered ones of many."""
+        found = {key: self.young[key] for key in self.young.keys() & keys}
+        if self.old:
+            again = {key: self.old[key] for key in self.old.keys() & (keys - found.keys())}
+            self.put_all(again)
+            found |= again
+        return found
+
+    def put_all(self, entries: dict[str, tuple[int, ...]]) -> None:
+        waiting = ((key, value) for key, value in entries.items() if len(key) <= LONGEST_REMEMBERED)
+        while True:
+            if len(self.young) >= self.most:
+                self.old, self.young = self.young, {}
+            some = dict(islice(waiting, self.most - len(self.young)))
+            if not some:
+                return
+            self.young.update(some)
+
 
 class MergeVocabulary:
     """Pieces, scores and byte fallbacks of one model file's content."""
@@ -102,7 +132,7 @@ class MergeVocabulary:
 
     def _number_symbols(self) -> None:
         """Numbers for what can become a symbol (pieces, and the characters in them), and
-        the pairs of symbols that make a piece, sorted, with priority and result."""
+        the pairs of symbols that make a piece, by slot, with priority and result."""
         symbols = list(dict.fromkeys(chain(self.ids, chain.from_iterable(self.ids))))
         number = {symbol: i for i, symbol in enumerate(symbols)}
         # Of a character in no piece, which makes no pair.
@@ -116,15 +146,26 @@ class MergeVocabulary:
             (number[name[:i]] * self.stranger + number[name[i:]], self.priority[name], number[name])
             for name in self.priority for i in range(1, len(name)) if name[:i] in number and name[i:] in number
         ]
-        keys, priorities, results = zip(*sorted(pairs))
-        self.pair_keys = np.array(keys, np.int64)
-        self.pair_priorities, self.pair_results = np.array(priorities), np.array(results, np.int32)
+        keys, priorities, results = (np.array(c) for c in zip(*pairs))
+        slots = _slots(keys)
+        order, sizes = np.argsort(slots, kind="stable"), np.bincount(slots, minlength=1 << SLOT_BITS)
+        self.slot_starts = (np.cumsum(sizes) - sizes).astype(np.int32)
+        self.largest_slot = int(sizes.max())
+        # No key behind the last ones.
+        self.pair_keys = np.append(keys[order].astype(np.int64), np.full(self.largest_slot, -1))
+        padding = np.zeros(self.largest_slot)
+        self.pair_priorities = np.append(priorities[order], padding)
+        self.pair_results = np.append(results[order], padding).astype(np.int32)
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Priority (NEVER if they make no piece) and result of neighbouring symbols."""
         keys = left.astype(np.int64) * self.stranger + right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        fits = (self.pair_keys[at] == keys) & (left != self.stranger) & (right != self.stranger)
+        at = self.slot_starts[_slots(keys)]
+        fits = self.pair_keys[at] == keys
+        for _ in range(self.largest_slot - 1):
+            at = np.where(fits, at, at + 1)
+            fits = self.pair_keys[at] == keys
+        fits &= (left != self.stranger) & (right != self.stranger)
         return np.where(fits, self.pair_priorities[at], NEVER), self.pair_results[at]
 
     def encode_many(self, cuts: list[str]) -> list[tuple[int, ...]]:
@@ -252,22 +293,71 @@ class MergeVocabulary:
 
     def learn(self, cuts: set[str]) -> dict[str, tuple[int, ...]]:
         """Ids of every cut: remembered ones, and new ones compared with the library."""
-        known = {cut: ids for cut in cuts if (ids := self.known.get(cut)) is not None}
-        new = [cut for cut in cuts if cut not in known]
-        # After a line feed the library starts afresh, so a cut stands alone there.
+        known = self.known.among(cuts)
+        new = list(cuts.difference(known))
+        own = self.encode_cuts(new)
+        self._compare(new, own)
+        learnt = dict(zip(new, own))
+        self.known.put_all(learnt)
+        return known | learnt
+
+    def _compare(self, cuts: list[str], own: list[tuple[int, ...]]) -> None:
+        """Whether the library gives the same ids. After a line feed it starts afresh,
+        so every cut stands alone on a line of its own."""
+        lead = self.library.encode("\n")
+        feed = (self.byte_ids[10],)
+        places = range(0, len(cuts), COMPARED)
+        texts = [("\n" + "\n".join(cuts[i:i + COMPARED])).replace(SPACE, " ") for i in places]
+        for i, theirs in zip(places, self.library.encode(texts, num_threads=1)):
+            some = own[i:i + COMPARED]
+            mine = [*lead, *some[0], *chain.from_iterable(map(feed.__add__, some[1:]))]
+            if mine != theirs:
+                raise ValueError(f"the agenda and the library disagree on {self._differing(cuts[i:i + COMPARED], some)!r}")
+
+    def _differing(self, cuts: list[str], own: list[tuple[int, ...]]) -> str:
         lead = len(self.library.encode("\n"))
-        theirs = self.library.encode(["\n" + c.replace(SPACE, " ") for c in new], num_threads=1)
-        for cut, own, other in zip(new, self.encode_cuts(new), theirs):
-            if list(own) != other[lead:]:
-                raise ValueError(f"the agenda and the library disagree on {cut!r}")
-            known[cut] = own
-            self.known.put(cut, own)
-        return known
+        for cut, ids in zip(cuts, own):
+            if list(ids) != self.library.encode("\n" + cut.replace(SPACE, " "))[lead:]:
+                return cut
+        return "\n".join(cuts)
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts behind each other, and where each text begins and the
+        last one ends. Every distinct cut's ids are laid out once and copied from there."""
+        cuts = [CUTS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        known = self.learn(set(chain.from_iterable(cuts)))
+        # No cut is empty: this one ends every text.
+        known[""] = (self.end_id,)
+        for own in cuts:
+            own.append("")
+        number = dict(zip(known, range(len(known))))
+        sizes = np.fromiter(map(len, known.values()), np.int32, len(known))
+        ids = np.fromiter(chain.from_iterable(known.values()), np.int32, int(sizes.sum()))
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        lasts = np.cumsum(np.fromiter(map(len, cuts), np.int64, len(cuts))) - 1
+        at = np.fromiter(map(number.__getitem__, chain.from_iterable(cuts)), np.int32, int(lasts[-1]) + 1)
+        taken = sizes[at]
+        ends = np.cumsum(taken, dtype=np.int32)
+        places = np.repeat(starts[at] - (ends - taken), taken)
+        places += np.arange(len(places), dtype=np.int32)
+        return ids[places], np.concatenate([np.zeros(1, np.int32), ends[lasts]])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        cuts = [CUTS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        at = self.learn(set(chain.from_iterable(cuts))).__getitem__
-        return [[*chain.from_iterable(map(at, c)), self.end_id] for c in cuts]
+        if not texts:
+            return []
+        flat, bounds = self.encode_flat(texts)
+        return [flat[a:b].tolist() for a, b in pairwise(bounds.tolist())]
+
+    def decode_flat(self, flat: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts, each compared with the library's."""
+        decoded: list[str] = []
+        for at in range(0, len(bounds) - 1, DECODED):
+            ids = [flat[a:b].tolist() for a, b in pairwise(bounds[at:at + DECODED + 1].tolist())]
+            own = self.decode(ids)
+            if own != self.library.decode(ids, num_threads=1):
+                raise ValueError("own and library decodings differ")
+            decoded += own
+        return decoded
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         of = self.bytes_of.__getitem__
@@ -296,13 +386,11 @@ def encode_decode(docs: DataFrame, model: bytes, text: str = "text", keep: list[
         for batch in batches:
             for part in slices(batch):
                 texts = [t or "" for t in part.column(len(keep)).to_pylist()]
-                ids = own.encode(texts)
-                decoded = own.decode(ids)
-                if decoded != own.library.decode(ids, num_threads=1):
-                    raise ValueError("own and library decodings differ")
+                ids, bounds = own.encode_flat(texts)
+                decoded = own.decode_flat(ids, bounds)
                 columns = [part.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
+                    [*columns, pa.ListArray.from_arrays(bounds, ids), pa.array(decoded, pa.string())],
                     [*keep, "ids", "decoded"])
 
     schema = T.StructType([docs.schema[c] for c in keep])

@@ -1,13 +1,14 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from flowlake.llm import chat
+from flowlake.llm import chat, hashing, sentencepiece_bpe
 from flowlake.llm.queries_text import TRICKY, op3_chat_formatting, op6_sentencepiece, piece_model
 from flowlake.llm.sentencepiece_bpe import MergeVocabulary, encode_decode
 
@@ -112,3 +113,28 @@ def test_query_against_the_library(spark, sf_dir):
 def test_formatting_uses_no_python(spark, cases):
     plan = chat.read_back(formatted(spark, cases)).withColumn("n", F.size("turns"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_ids_are_laid_out_flat_and_memory_keeps_its_bound():
+    """Many cuts at once, over several generations; both comparisons notice a wrong id."""
+    own = sentencepiece_bpe.MergeVocabulary(piece_model())
+    own.known = sentencepiece_bpe.Memory(50)
+    texts = ["", "one two", " ".join(f"w{i}ord" for i in range(300)), "a\n\n b\u20ac\U0001f600", "one two"]
+    for _ in range(3):
+        flat, bounds = own.encode_flat(texts)
+        assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [
+            [*own.library.encode(t), own.end_id] for t in texts]
+        assert len(own.known.young) <= 50 and len(own.known.old) <= 50
+    assert own.decode_flat(flat, bounds) == texts
+    met = own.known.among({"\u2581one", "never met"})
+    assert set(met) <= {"\u2581one"}
+    own.encode_many = lambda cuts: [(5,) for _ in cuts]
+    with pytest.raises(ValueError, match="disagree on '\u2581zyx"):
+        own.learn({"\u2581zyxwv", "\u2581zyxwvu"})
+
+
+def test_slices_give_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(hashing, "give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 100] * 64})
+    assert sum(part.num_rows for part in hashing.slices(batch, 1_000)) == 64 and given == [1]
