@@ -21,6 +21,7 @@ only the named columns are kept, so other columns can have any name.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 from collections.abc import Iterator
@@ -39,7 +40,7 @@ from flowlake.llm.hashing import slices
 SPACE = "▁"
 # Cuts, and parts, of a generation that a worker remembers, each of so many characters
 # at most; there are two generations of both. Longer ones are encoded anew each time.
-REMEMBERED = 125_000
+REMEMBERED = 250_000
 LONGEST_REMEMBERED = 40
 # Cuts up to this length are encoded many at a time; longer ones part by part, and parts
 # up to this length keep their agenda as a list.
@@ -383,15 +384,18 @@ def encode_decode(docs: DataFrame, model: bytes, text: str = "text", keep: list[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabulary(model)
-        for batch in batches:
-            for part in slices(batch):
-                texts = [t or "" for t in part.column(len(keep)).to_pylist()]
-                ids, bounds = own.encode_flat(texts)
+        # Nothing here is cyclic, and looking for cycles among so many cuts takes long.
+        gc.disable()
+        try:
+            for part in chain.from_iterable(map(slices, batches)):
+                ids, bounds = own.encode_flat([t or "" for t in part.column(len(keep)).to_pylist()])
                 decoded = own.decode_flat(ids, bounds)
                 columns = [part.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.ListArray.from_arrays(bounds, ids), pa.array(decoded, pa.string())],
                     [*keep, "ids", "decoded"])
+        finally:
+            gc.enable()
 
     schema = T.StructType([docs.schema[c] for c in keep])
     schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
